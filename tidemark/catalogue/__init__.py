@@ -1,8 +1,8 @@
 """Registered queries over the star tables, each next to its SQL counterpart."""
 
-from . import marts, shaping
+from . import checks, history, incremental, marts, shaping
 
-SECTIONS = (shaping, marts)
+SECTIONS = (shaping, marts, incremental, history, checks)
 
 
 def queries():

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.store import MartStore
+
 ERROR, WARN = "error", "warn"
 
 
@@ -194,3 +196,18 @@ def run_suites(suites: Sequence[CheckSuite], expected: int | None = None) -> Dat
     if expected is not None and bound != expected:
         raise CheckCountMismatch(f"{bound} checks bound, {expected} expected")
     return reduce(DataFrame.unionByName, [s.results() for s in suites])
+
+
+def relation_kind(spark: SparkSession, store: MartStore, name: str) -> str:
+    """``table`` if stored, ``view`` if in the catalog, ``ephemeral`` if it exists nowhere."""
+    if store.exists(name):
+        return "table"
+    return "view" if spark.catalog.tableExists(name) else "ephemeral"
+
+
+def wrong_materializations(
+    spark: SparkSession, store: MartStore, expected: Mapping[str, str]
+) -> list[str]:
+    """Relations that do not exist in the way they are meant to."""
+    kinds = {name: relation_kind(spark, store, name) for name in expected}
+    return [f"{n}: {kinds[n]}, not {want}" for n, want in expected.items() if kinds[n] != want]
