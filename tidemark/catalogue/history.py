@@ -262,7 +262,7 @@ def point_in_time_join_long_timelines(spark, sf_dir):
 def point_in_time_join_hot_keys(spark, sf_dir):
     """The same with every busy account's purchases joined in place to its versions."""
     history = account_log(spark, sf_dir)
-    return _orders_then(spark, sf_dir, history, few_versions=1_000_000, hot_rows=SHORT // 2)
+    return _orders_then(spark, sf_dir, history, few_versions=500, hot_rows=SHORT // 2)
 
 
 @query(

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.store import MartStore
+from .joins import drop_keys
 
 ERROR, WARN = "error", "warn"
 
@@ -27,7 +28,8 @@ class Check:
     """One named check on a table.
 
     Either ``condition`` (a row fails where it is true; many such checks share one scan) or
-    ``failing`` (a function from the table to its failing rows).
+    ``failing`` (a function from the table to its failing rows), with ``counting`` where their
+    number (one row, column ``n``) is cheaper to get than the rows.
     ``severity`` is a ceiling: a warn check never blocks. Under severity error, ``error_if``
     and ``warn_if`` are the failing-row counts from which the check errors or warns.
     """
@@ -36,6 +38,7 @@ class Check:
     severity: str = ERROR
     condition: Column | None = None
     failing: Callable[[DataFrame], DataFrame] | None = None
+    counting: Callable[[DataFrame], DataFrame] | None = None
     error_if: int = 1
     warn_if: int = 1
 
@@ -43,6 +46,11 @@ class Check:
         """The failing rows themselves, for follow-up."""
         return table.where(self.condition) if self.failing is None else self.failing(table)
 
+    def count(self, table: DataFrame) -> DataFrame:
+        if self.counting is not None:
+            return self.counting(table)
+        return self.rows(table).agg(F.count("*").alias("n"))
+
     def status(self, count: Column) -> Column:
         outcome = F.when(F.lit(self.severity == ERROR) & (count >= self.error_if), "error")
         return outcome.when(count >= self.warn_if, "warn").otherwise("pass")
@@ -97,6 +105,7 @@ def relationships(column: str, parent: DataFrame, to: str, severity: str = ERROR
         f"relationships({column} -> {to})",
         severity,
         failing=lambda t: orphans(t, column, parent, to),
+        counting=lambda t: orphan_count(t, column, parent, to),
     )
 
 
@@ -113,8 +122,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, to: str) -> DataFrame:
     """Child rows whose present key has no parent row."""
+    known = parent.select(F.col(to).alias(column))
+    return drop_keys(child.where(F.col(column).isNotNull()), known, [column])
+
+
+def orphan_count(child: DataFrame, column: str, parent: DataFrame, to: str) -> DataFrame:
+    """Their number: child rows are counted per key first, so a busy key is one row."""
     known = parent.select(F.col(to).alias(column)).distinct()
-    return child.where(F.col(column).isNotNull()).join(known, column, "left_anti")
+    per_key = child.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("c"))
+    missing = per_key.join(known, column, "left_anti")
+    return missing.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"))
 
 
 def header_not_equal_lines(
@@ -164,8 +181,7 @@ class CheckSuite:
             frames.append(counts.select(F.explode(F.array(*cells)).alias("r")).select("r.*"))
         for c in self.checks:
             if c.failing is not None:
-                count = c.rows(self.table).agg(F.count("*").alias("n"))
-                frames.append(count.select(self._cell(c, F.col("n")).alias("r")).select("r.*"))
+                frames.append(c.count(self.table).select(self._cell(c, F.col("n")).alias("r")).select("r.*"))
         return reduce(DataFrame.unionByName, frames)
 
     def _cell(self, check: Check, count: Column) -> Column:

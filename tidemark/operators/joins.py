@@ -78,35 +78,76 @@ def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame |
     return spark.createDataFrame(rows, heavy.schema) if rows else None
 
 
-def attach(
+def split_join(
     facts: DataFrame,
-    dim: DataFrame,
+    side: DataFrame,
     on: Sequence[str],
-    how: str = "inner",
+    how: str,
     hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
-    """Row-preserving join of facts to ``dim``, which has one row per ``on``.
+    """Joins facts to ``side`` (one row per ``on``) without ever gathering a hot key.
 
-    Facts of a hot key never meet in one task: they are joined in place to the few matching
-    ``dim`` rows (as many as there are hot keys), the others by the ordinary join. In a left
-    join the facts without a key, which can match nothing, skip the shuffle altogether.
+    Facts of a hot key are joined where they are to the few matching ``side`` rows, which are
+    at most as many as there are hot keys; the others take the ordinary join. Facts without a
+    key can match nothing and, where they are kept, skip the shuffle altogether.
+    ``counted`` is a cheaper frame with the same keys as ``facts`` to find the hot ones in.
     """
     on = list(on)
-    hot = hot_keys(facts, on, hot_rows)
+    hot = hot_keys(facts if counted is None else counted, on, hot_rows)
     has_key = F.lit(True)
     for name in on:
         has_key = has_key & F.col(name).isNotNull()
     keyed = facts.where(has_key)
     if hot is None:
-        joined = keyed.join(dim, on, how)
+        joined = keyed.join(side, on, how)
     else:
         few = F.broadcast(hot)
-        hot_dim = dim.join(few, on, "left_semi")
-        joined = (
-            keyed.join(few, on, "left_anti")
-            .join(dim, on, how)
-            .unionByName(keyed.join(few, on, "left_semi").join(F.broadcast(hot_dim), on, how))
-        )
-    if how == "left":
+        hot_side = F.broadcast(side.join(few, on, "left_semi"))
+        cold = keyed.join(few, on, "left_anti").join(side, on, how)
+        joined = cold.unionByName(keyed.join(few, on, "left_semi").join(hot_side, on, how))
+    if how in ("left", "left_anti"):
         joined = joined.unionByName(facts.where(~has_key), allowMissingColumns=True)
     return joined
+
+
+def attach(
+    facts: DataFrame,
+    dim: DataFrame,
+    on: Sequence[str],
+    how: str = "inner",
+    hot_rows: int = HOT_ROWS,
+    counted: DataFrame | None = None,
+) -> DataFrame:
+    """Row-preserving join: facts with the columns of a ``dim`` unique on ``on``."""
+    return split_join(facts, dim, on, how, hot_rows, counted)
+
+
+def keep_keys(
+    facts: DataFrame, wanted: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Facts whose key occurs in ``wanted``."""
+    return split_join(facts, wanted.select(*on).distinct(), on, "left_semi", hot_rows)
+
+
+def drop_keys(
+    facts: DataFrame, unwanted: DataFrame, on: Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Facts whose key does not occur in ``unwanted``; those without a key stay."""
+    return split_join(facts, unwanted.select(*on).distinct(), on, "left_anti", hot_rows)
+
+
+def within_key_range(
+    headers: DataFrame, key: str, *logs: DataFrame
+) -> list[DataFrame]:
+    """The logs' rows whose key lies between the least and the greatest key of ``headers``.
+
+    Cuts what an incremental run reads of large logs without a join: the two bounds become
+    plain comparisons that reach the scan, and skip whole files where keys grow over time.
+    Every row that can match is kept; a later join on the key does the exact matching.
+    """
+    least, greatest = headers.agg(F.min(key), F.max(key)).first()
+    if least is None:
+        return [log.where(F.lit(False)) for log in logs]
+    inside = F.col(key).between(F.lit(least), F.lit(greatest))
+    return [log.where(inside) for log in logs]

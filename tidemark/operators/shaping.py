@@ -25,13 +25,8 @@ def preview(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def only_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``wanted``."""
-    return df.join(wanted.select(*keys).distinct(), list(keys), "left_semi")
-
-
 def without_keys(df: DataFrame, unwanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key does not occur in ``unwanted``; a missing key stays."""
+    """Rows of a mart whose key does not occur in ``unwanted``; a missing key stays."""
     return df.join(unwanted.select(*keys).distinct(), list(keys), "left_anti")
 
 

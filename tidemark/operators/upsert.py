@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.store import MartStore
-from .shaping import only_keys, without_keys
+from .joins import keep_keys
+from .shaping import without_keys
 
 
 class SchemaChanged(Exception):
@@ -100,7 +101,7 @@ def recompute_touched(
     Groups that end up without rows leave the target.
     """
     touched = touched_keys(arrivals, keys)
-    rebuilt = build(only_keys(everything, touched, keys))
+    rebuilt = build(keep_keys(everything, touched, keys))
     return append(without_keys(target, touched, keys), rebuilt)
 
 

@@ -150,7 +150,9 @@ SELLER_PAYOUTS = Contract(
 )
 
 
-def seller_payouts(sellers: DataFrame, payouts: DataFrame, lines: DataFrame, wide: bool = False) -> DataFrame:
+def seller_payouts(
+    sellers: DataFrame, payouts: DataFrame, lines: DataFrame, wide: bool = False
+) -> DataFrame:
     """Two grains on one row: lines are counted per payout before payouts meet their seller."""
     counted = joins.rollup_left(
         payouts, lines, ["payout_id"], {"n_lines": F.count("*")}, {"n_lines": "bigint"}
@@ -181,24 +183,22 @@ DAILY_SHIPMENTS = Contract(
 
 def shipments_latest(log: DataFrame, since: date | None = None) -> DataFrame:
     """Latest state per shipment, then without the cancelled ones (in this order: a cancelled
-    shipment must not fall back to an older state).
-
-    With ``since``, only shipments that have some state on or after it are ranked; any whose
-    latest state qualifies is among them.
-    """
-    if since is not None:
-        recent = log.where(F.col("ship_date") >= F.lit(since))
-        log = shaping.only_keys(log, recent, ["shipment_id"])
+    shipment must not fall back to an older state). ``since`` is applied to latest states."""
     latest = shaping.latest_per_key(log, ["shipment_id"], [F.desc("updated_at")])
     if since is not None:
         latest = latest.where(F.col("ship_date") >= F.lit(since))
     return latest.where(F.col("status") != "CANCELLED")
 
 
-def daily_shipments(log: DataFrame, items: DataFrame, since: date | None = None, wide: bool = False) -> DataFrame:
-    shipments = shipments_latest(log, since)
+def daily_shipments(
+    log: DataFrame, items: DataFrame, since: date | None = None, wide: bool = False
+) -> DataFrame:
+    """With ``since``, both feeds are first cut to the ids of shipments that have some state on
+    or after it; any shipment whose latest state qualifies is among them."""
     if since is not None:
-        items = shaping.only_keys(items, shipments, ["shipment_id"])
+        recent = log.where(F.col("ship_date") >= F.lit(since))
+        log, items = joins.within_key_range(recent, "shipment_id", log, items)
+    shipments = shipments_latest(log, since)
     both = joins.rollup_left(
         shipments,
         items,
@@ -239,7 +239,7 @@ def daily_payouts(
     counted = deliveries.where(F.col("status") != "CANCELLED")
     if since is not None:
         counted = counted.where(F.col("delivery_date") >= F.lit(since))
-        adjustments = shaping.only_keys(adjustments, counted, ["delivery_id"])
+        (adjustments,) = joins.within_key_range(counted, "delivery_id", adjustments)
     both = joins.rollup_left(
         counted,
         adjustments,
@@ -306,7 +306,7 @@ def orders_attributed(orders: DataFrame, history: DataFrame, current: DataFrame)
         {"tier_at_order": UNKNOWN, "region_at_order": UNKNOWN},
     )
     now = current.select("account_id", F.col("contract_tier").alias("current_tier"))
-    both = joins.attach(then, now, ["account_id"], "left")
+    both = joins.attach(then, now, ["account_id"], "left", counted=orders)
     return ORDERS_ATTRIBUTED.publish(
         both.withColumn("current_tier", F.coalesce("current_tier", F.lit(UNKNOWN)))
     )
@@ -423,8 +423,7 @@ def invoice_revenue(
     """
     if since is not None:
         invoices = invoices.where(F.to_date("invoiced_at") >= F.lit(since))
-        lines = shaping.only_keys(lines, invoices, ["invoice_id"])
-        payments = shaping.only_keys(payments, invoices, ["invoice_id"])
+        lines, payments = joins.within_key_range(invoices, "invoice_id", lines, payments)
     billed = joins.rollup(lines, ["invoice_id"], {"billed_usd": F.sum("amount_usd")})
     with_lines = invoices.join(billed, "invoice_id", "left")
     paid = joins.rollup_left(
@@ -435,7 +434,12 @@ def invoice_revenue(
         {"collected_usd": "decimal(28,2)"},
     )
     attributed = temporal.point_in_time_join(
-        paid, history, ["customer_id"], "invoiced_at", {"plan_code": "plan_code"}
+        paid,
+        history,
+        ["customer_id"],
+        "invoiced_at",
+        {"plan_code": "plan_code"},
+        counted=invoices,
     )
     return INVOICE_REVENUE.publish(
         attributed.withColumn("invoice_date", F.to_date("invoiced_at")), wide)
