@@ -115,7 +115,7 @@ def test_reconcile_names_every_kind_of_disagreement(rows, bag):
 def test_tie_out_of_empty_input_is_zero(rows, bag):
     some = rows("v int", (2,), (3,))
     none = some.where(F.lit(False))
-    result = reconcile.tie_out({"v": ((some, F.sum("v")), (none, F.sum("v")))})
+    result = reconcile.tie_out(some, {"v": (F.sum("v"), none, F.sum("v"))})
     assert bag(result) == [("v", "5.00", "0.00", "5.00")]
 
 

@@ -128,6 +128,15 @@ def test_incremental_runs_write_only_their_window(store, rows, tmp_path):
     assert store.spark.read.parquet(newest.path).count() == 3
 
 
+def test_pieces_are_put_together_from_time_to_time(store, rows, bag):
+    schema = "day date, city string, status string"
+    for run in range(1, 6):
+        feed = rows(schema, *[(day(d), "a", "OK") for d in range(run)])
+        upsert.run_incremental(store, "m", counts(feed), "day", run, whole_every=3)
+    assert [p.since is None for p in store.pieces("m")] == [False, True]
+    assert bag(store.read("m", "day")) == [(day(d), "a", 1) for d in range(5)]
+
+
 def test_unfinished_writes_do_not_count(store, rows, bag, tmp_path):
     store.write("m", 1, rows(MART, (day(0), "a", 1)))
     store.write("m", 2, rows(MART, (day(0), "a", 2)))

@@ -124,13 +124,10 @@ def daily_city_payouts_merge(spark, sf_dir):
 def incremental_equals_full(spark, sf_dir):
     """The replayed mart against a full rebuild, cell for cell and type for type."""
     incremental, full = _payout_runs(spark, sf_dir), _payouts_at(spark, sf_dir, 3)
-    differing = reconcile.table_diff(incremental, full).agg(F.count("*").alias("n"))
-    rows = full.agg(F.count("*").alias("n"))
-    stacked = differing.withColumn("what", F.lit("differing_rows")).unionByName(
-        rows.withColumn("what", F.lit("mart_rows"))
+    return reconcile.side_counts(incremental, full).agg(
+        F.count_if(F.col("left_rows") != F.col("right_rows")).alias("differing_rows"),
+        F.coalesce(F.sum("right_rows"), F.lit(0)).alias("mart_rows"),
     )
-    pick = lambda what: F.sum(F.when(F.col("what") == what, F.col("n"))).alias(what)
-    return stacked.agg(pick("differing_rows"), pick("mart_rows"))
 
 
 @query(PAYOUTS_SQL)
@@ -148,16 +145,16 @@ def touched_keys_recompute(spark, sf_dir):
     )
 
 
-# The upserts on one pair of tables: the target is the payout mart of load 1; the new rows are
-# the days from the bound on as of load 2, in which one city has been withdrawn altogether.
-BOUND = date(1997, 6, 1)
+# The upserts on one pair of tables: the target is the payout mart of load 2; the new rows are
+# the days from the bound on as of load 3, in which one city has been withdrawn altogether.
+BOUND = date(1999, 12, 1)
 _AT_SQL = """
     (select delivery_date, city_code, count(*) as delivery_count,
             cast(sum(payout_base_usd) as decimal(28,2)) as payout_base_usd
      from deliveries where status <> 'CANCELLED' and batch_id <= {load} group by 1, 2)
 """
-_TARGET_SQL = _AT_SQL.format(load=1)
-_NEW_SQL = f"""(select * from {_AT_SQL.format(load=2)}
+_TARGET_SQL = _AT_SQL.format(load=2)
+_NEW_SQL = f"""(select * from {_AT_SQL.format(load=3)}
                 where delivery_date >= date '{BOUND}' and city_code <> 'MACHINERY')"""
 
 
@@ -171,8 +168,8 @@ def _target_and_new(spark, sf_dir):
             F.sum("payout_base_usd").cast("decimal(28,2)").alias("payout_base_usd"),
         )
 
-    new = at(2).where((F.col("delivery_date") >= F.lit(BOUND)) & (F.col("city_code") != "MACHINERY"))
-    return at(1), new
+    new = at(3).where((F.col("delivery_date") >= F.lit(BOUND)) & (F.col("city_code") != "MACHINERY"))
+    return at(2), new
 
 
 _KEYED_SQL = f"""

@@ -53,23 +53,33 @@ def _per_side(sums, a, b):
 
 
 def tie_out(
-    totals: Mapping[str, tuple[tuple[DataFrame, Column], tuple[DataFrame, Column]]],
+    published: DataFrame,
+    totals: Mapping[str, tuple[Column, DataFrame, Column]],
     type_: str = "decimal(28,2)",
 ) -> DataFrame:
     """Per named total: its value on both sides and the difference (0 when they tie).
 
-    Each side is a (frame, aggregate) pair; an empty frame totals 0. The one-row totals are
-    stacked by name, so nothing is crossed with anything.
+    ``totals`` maps a name to (aggregate of ``published``, staged frame, its aggregate); an
+    empty frame totals 0. ``published`` is read once for all of them, and the one-row totals
+    are stacked by name, so nothing is crossed with anything.
     """
-    rows = []
-    for name, sides in totals.items():
-        for side, (frame, total) in zip(("published", "staged"), sides, strict=True):
-            value = F.coalesce(total, F.lit(0)).cast(type_)
-            rows.append(
-                frame.agg(value.alias("value")).select(
-                    F.lit(name).alias("total"), F.lit(side).alias(SIDE), "value"
-                )
+    value = lambda total: F.coalesce(total, F.lit(0)).cast(type_)
+    cells = [
+        F.struct(F.lit(name).alias("total"), value(total).alias("value"))
+        for name, (total, _, _) in totals.items()
+    ]
+    one_row = published.agg(F.array(*cells).alias("cells"))
+    rows = [
+        one_row.select(F.explode("cells").alias("c")).select(
+            "c.total", F.lit("published").alias(SIDE), "c.value"
+        )
+    ]
+    for name, (_, frame, total) in totals.items():
+        rows.append(
+            frame.agg(value(total).alias("value")).select(
+                F.lit(name).alias("total"), F.lit("staged").alias(SIDE), "value"
             )
+        )
     pick = lambda side: F.max(F.when(F.col(SIDE) == side, F.col("value")))
     return (
         reduce(DataFrame.unionByName, rows)
@@ -85,15 +95,15 @@ def schema_differences(left: DataFrame, right: DataFrame) -> list[str]:
     return [] if a == b else [f"{x} <> {y}" for x, y in zip(a, b) if x != y] or [f"{a} <> {b}"]
 
 
-def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows that do not occur equally often on both sides (NULL equals NULL), any order.
+def side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Every distinct row with how often it occurs on each side (NULL equals NULL).
 
     Types must agree as well. One aggregate over both sides answers both directions.
     """
     wrong = schema_differences(left, right)
     if wrong:
         raise TypeError("; ".join(wrong))
-    counted = (
+    return (
         _stack(left, right)
         .groupBy(*left.columns)
         .agg(
@@ -101,4 +111,8 @@ def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
             F.count_if(F.col(SIDE) == 1).alias("right_rows"),
         )
     )
-    return counted.where(F.col("left_rows") != F.col("right_rows"))
+
+
+def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Rows that do not occur equally often on both sides; empty when the tables are equal."""
+    return side_counts(left, right).where(F.col("left_rows") != F.col("right_rows"))

@@ -11,7 +11,8 @@ RANK = "_rank"
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The whole first row of each key in ``order`` (give it newest first, ties broken).
+    """The whole first row of each key in ``order`` (newest first, then whatever breaks ties:
+    a task run again after a lost executor must pick the same row).
 
     Filtering ``row_number() = 1`` lets Spark keep one candidate per key and task before the
     shuffle (WindowGroupLimit), so a key that holds a large share of the rows stays cheap.

@@ -130,11 +130,14 @@ def run_incremental(
     strategy: str = "replace_window",
     keys: Sequence[str] = (),
     on_schema_change: str = "fail",
+    whole_every: int = 30,
 ) -> DataFrame:
     """One nightly run: derive the window, build it from full upstream, commit, read back.
 
     ``build(since)`` returns the mart's rows with ``grain >= since`` (all rows for None). State
-    is read as of the runs before this one, so repeating a run repeats its result.
+    is read as of the runs before this one, so repeating a run repeats its result. Replacing a
+    window writes that window alone; every ``whole_every`` runs the table is written whole, to
+    keep the number of pieces a reader has to put together small.
     """
     if not is_incremental(store, name, run, full_refresh):
         store.write(name, run, build(None))
@@ -143,8 +146,10 @@ def run_incremental(
     newest = target.agg(F.max(grain)).first()[0]
     since = lower_bound(newest, lookback_days)
     new = align(build(since), target.schema, on_schema_change)
-    same_shape = new.schema.names == target.schema.names
-    if strategy == "replace_window" and since is not None and same_shape:
+    as_window = new.schema.names == target.schema.names and since is not None
+    if len(store.pieces(name, before_run=run)) >= whole_every:
+        as_window = False
+    if strategy == "replace_window" and as_window:
         store.write(name, run, new, since)
     elif strategy == "replace_window":
         store.write(name, run, replace_window(target, new, grain, since))

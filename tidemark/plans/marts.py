@@ -51,7 +51,8 @@ UNMAPPED = "Unmapped"
 
 def latest_export(staged_export: DataFrame) -> DataFrame:
     """One row per order: its newest export, as a whole."""
-    return shaping.latest_per_key(staged_export, ["order_id"], [F.desc("exported_at")])
+    newest = [F.desc("exported_at"), F.desc("order_status"), F.desc("amount_usd")]
+    return shaping.latest_per_key(staged_export, ["order_id"], newest)
 
 
 def region_revenue(orders: DataFrame, country_region: DataFrame, wide: bool = False) -> DataFrame:
@@ -184,7 +185,8 @@ DAILY_SHIPMENTS = Contract(
 def shipments_latest(log: DataFrame, since: date | None = None) -> DataFrame:
     """Latest state per shipment, then without the cancelled ones (in this order: a cancelled
     shipment must not fall back to an older state). ``since`` is applied to latest states."""
-    latest = shaping.latest_per_key(log, ["shipment_id"], [F.desc("updated_at")])
+    newest = [F.desc("updated_at"), F.desc("status"), F.desc("shipping_cost_usd")]
+    latest = shaping.latest_per_key(log, ["shipment_id"], newest)
     if since is not None:
         latest = latest.where(F.col("ship_date") >= F.lit(since))
     return latest.where(F.col("status") != "CANCELLED")
@@ -286,7 +288,8 @@ ACCOUNTS_SNAPSHOT = snapshot.SnapshotSpec(
 
 def account_feed_latest(versions: DataFrame) -> DataFrame:
     """What a snapshot run sees: the newest version of each account delivered so far."""
-    return shaping.latest_per_key(versions, ["account_id"], [F.desc("updated_at")])
+    newest = [F.desc("updated_at"), F.desc("contract_tier"), F.desc("billing_region")]
+    return shaping.latest_per_key(versions, ["account_id"], newest)
 
 
 def accounts_current(history: DataFrame) -> DataFrame:

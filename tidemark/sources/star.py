@@ -81,9 +81,11 @@ def nations(s: Star) -> DataFrame:
 
 def customer_attribute(s: Star, orders: DataFrame, attribute: str) -> DataFrame:
     """Orders with one attribute of their customer (or of the customer's nation)."""
-    owners = s.customer.join(
-        s.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey")
-    )
+    owners = s.customer
+    if attribute not in owners.columns:
+        owners = owners.join(
+            s.nation.select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey")
+        )
     return joins.attach(
         orders, owners.select(F.col("c_custkey").alias("o_custkey"), attribute), ["o_custkey"]
     )
