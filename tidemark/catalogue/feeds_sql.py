@@ -112,14 +112,21 @@ FEEDS = {
                case when l_linenumber <> 7 then cast(l_quantity as integer) end as units,
                l_returnflag <> 'N' as is_billable
         from lineitem""",
+    "sellers": """
+        select c_custkey as seller_id, c_name as seller_name,
+               case c_mktsegment when 'AUTOMOBILE' then 'US' when 'BUILDING' then 'DE'
+                    when 'FURNITURE' then 'GB' when 'HOUSEHOLD' then 'PE' else 'XX' end as country
+        from customer""",
     "payouts": f"""
         select o_orderkey as payout_id, o_custkey as seller_id,
                case o_orderstatus when 'F' then 'PAID' when 'O' then 'PENDING' else 'FAILED' end
                    as status,
+               case when o_orderpriority <> '5-LOW' then 'USD' end as currency,
                {_PRICE} as payout_amount
         from orders""",
     "payout_lines": """
-        select case when l_linenumber = 7 then null when l_discount > 0.095 then -1 - l_orderkey
+        select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as line_id,
+               case when l_linenumber = 7 then null when l_discount > 0.095 then -1 - l_orderkey
                     else l_orderkey end as payout_id,
                case when l_tax > 0 then 'USD' end as currency,
                cast(l_extendedprice as decimal(12,2)) as line_amount,

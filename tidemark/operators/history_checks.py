@@ -111,14 +111,14 @@ def redundant_versions(
     tracked: Sequence[str],
     hot_rows: int = timeline.HOT_ROWS,
 ) -> DataFrame:
-    """Versions that repeat the version they directly follow, deletion flag included."""
-    compared = [*tracked, "is_deleted"]
+    """Versions that repeat the version they directly follow, neither being a termination."""
     seen = timeline.with_previous(
-        history, keys, "valid_from", ["valid_to", *compared], "_prev", hot_rows=hot_rows
+        history, keys, "valid_from", ["valid_to", "is_deleted", *tracked], "_prev", hot_rows=hot_rows
     )
-    same = F.struct(*compared).eqNullSafe(F.struct(*[F.col(f"_prev.{c}") for c in compared]))
+    same = F.struct(*tracked).eqNullSafe(F.struct(*[F.col(f"_prev.{c}") for c in tracked]))
     adjacent = F.col("_prev.valid_to") == F.col("valid_from")
-    return seen.where(adjacent & same).select(*keys, "valid_from", *compared)
+    living = ~F.col("is_deleted") & ~F.col("_prev.is_deleted")
+    return seen.where(adjacent & same & living).select(*keys, "valid_from", *tracked)
 
 
 def attribution_differs(

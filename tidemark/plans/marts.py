@@ -192,23 +192,27 @@ def shipments_latest(log: DataFrame, since: date | None = None) -> DataFrame:
     return latest.where(F.col("status") != "CANCELLED")
 
 
-def daily_shipments(
-    log: DataFrame, items: DataFrame, since: date | None = None, wide: bool = False
-) -> DataFrame:
-    """With ``since``, both feeds are first cut to the ids of shipments that have some state on
-    or after it; any shipment whose latest state qualifies is among them."""
+def shipment_totals(log: DataFrame, items: DataFrame, since: date | None = None) -> DataFrame:
+    """One row per live shipment with its items added up; headers stay at header grain.
+
+    With ``since``, both feeds are first cut to the ids of shipments that have some state on or
+    after it; any shipment whose latest state qualifies is among them."""
     if since is not None:
         recent = log.where(F.col("ship_date") >= F.lit(since))
         log, items = joins.within_key_range(recent, "shipment_id", log, items)
-    shipments = shipments_latest(log, since)
-    both = joins.rollup_left(
-        shipments,
+    return joins.rollup_left(
+        shipments_latest(log, since),
         items,
         ["shipment_id"],
         {"item_quantity": F.sum("quantity"), "total_weight_kg": F.sum("line_weight_kg")},
         {"item_quantity": "bigint", "total_weight_kg": "decimal(28,3)"},
     )
-    result = both.groupBy("ship_date", "warehouse_code").agg(
+
+
+def daily_shipments(
+    log: DataFrame, items: DataFrame, since: date | None = None, wide: bool = False
+) -> DataFrame:
+    result = shipment_totals(log, items, since).groupBy("ship_date", "warehouse_code").agg(
         F.count("*").alias("shipment_count"),
         F.count_if(F.col("status") == "DELIVERED").alias("delivered_count"),
         F.coalesce(F.sum("shipping_cost_usd"), F.lit(0)).alias("shipping_cost_usd"),
@@ -233,29 +237,39 @@ DAILY_PAYOUTS = Contract(
 DELIVERY_SLA_DAYS = 4
 
 
-def daily_payouts(
-    deliveries: DataFrame, adjustments: DataFrame, since: date | None = None,
-    wide: bool = False,
+def delivery_totals(
+    deliveries: DataFrame, adjustments: DataFrame, since: date | None = None
 ) -> DataFrame:
-    """Write-once feed: cancelled deliveries are filtered, nothing is deduplicated."""
+    """One row per live delivery with its adjustments added up.
+
+    Write-once feed: cancelled deliveries are filtered, nothing is deduplicated."""
     counted = deliveries.where(F.col("status") != "CANCELLED")
     if since is not None:
         counted = counted.where(F.col("delivery_date") >= F.lit(since))
         (adjustments,) = joins.within_key_range(counted, "delivery_id", adjustments)
-    both = joins.rollup_left(
+    return joins.rollup_left(
         counted,
         adjustments,
         ["delivery_id"],
-        {"adjustment": F.sum("adj_amount_usd")},
-        {"adjustment": "decimal(28,2)"},
+        {"adjustment_total_usd": F.sum("adj_amount_usd")},
+        {"adjustment_total_usd": "decimal(28,2)"},
     )
+
+
+def daily_payouts(
+    deliveries: DataFrame,
+    adjustments: DataFrame,
+    since: date | None = None,
+    wide: bool = False,
+) -> DataFrame:
     result = (
-        both.groupBy("delivery_date", "city_code")
+        delivery_totals(deliveries, adjustments, since)
+        .groupBy("delivery_date", "city_code")
         .agg(
             F.count("*").alias("delivery_count"),
             F.count_if(F.col("status") == "COMPLETED").alias("completed_count"),
             F.coalesce(F.sum("payout_base_usd"), F.lit(0)).alias("payout_base_usd"),
-            F.sum("adjustment").alias("adjustment_total_usd"),
+            F.sum("adjustment_total_usd").alias("adjustment_total_usd"),
         )
         .withColumn("total_payout_usd", F.col("payout_base_usd") + F.col("adjustment_total_usd"))
     )
