@@ -60,7 +60,7 @@ def test_lookup_default_covers_unmapped_and_missing_codes(rows, bag):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("hot_rows", [1, 3, 1000])
+@pytest.mark.parametrize("hot_rows", [1, 2, 3, 5, 1000])
 def test_split_join_equals_the_plain_join(rows, bag, how, hot_rows):
     keys = [1] * 6 + [2] * 4 + [3] * 2 + [4, 5, None, None, None]
     facts = rows("k int, f int", *[(k, i) for i, k in enumerate(keys)])
@@ -72,8 +72,11 @@ def test_split_join_equals_the_plain_join(rows, bag, how, hot_rows):
 
 def test_hot_keys_are_those_above_the_limit(rows, bag):
     facts = rows("k int", *[(k,) for k in [1] * 5 + [2] * 3 + [3] + [None] * 9])
-    assert bag(joins.hot_keys(facts, ["k"], 2)) == [(1,), (2,)]
-    assert joins.hot_keys(facts, ["k"], 5) is None
+    few = joins.hot_keys(facts, ["k"], 2)
+    assert bag(few.named) == [(1,), (2,)] and few.missing
+    only_missing = joins.hot_keys(facts, ["k"], 5)
+    assert only_missing.named is None and only_missing.missing
+    assert joins.hot_keys(facts, ["k"], 9) is None
 
 
 def test_keep_and_drop_keys(rows, bag):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,14 +62,22 @@ def rollup_left_many(
     return headers
 
 
-def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame | None:
-    """The keys with more than ``hot_rows`` facts as a small frame, or None.
+@dataclass(frozen=True)
+class HotKeys:
+    """Keys with more facts than one task should get: the named ones, and the missing key."""
+
+    named: DataFrame | None
+    missing: bool
+
+
+def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> HotKeys | None:
+    """The keys with more than ``hot_rows`` facts, or None.
 
     One count per key, combined map-side, reading only the key columns. At most
     ``len(facts) / hot_rows`` keys can qualify.
     """
     spark: SparkSession = facts.sparkSession
-    counted = facts.dropna(subset=list(on)).groupBy(*on).count()
+    counted = facts.groupBy(*on).count()
     heavy = (
         counted.where(F.col("count") > hot_rows)
         .orderBy(F.col("count").desc())
@@ -75,7 +85,11 @@ def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame |
         .select(*on)
     )
     rows = heavy.collect()
-    return spark.createDataFrame(rows, heavy.schema) if rows else None
+    named = [r for r in map(tuple, rows) if None not in r]
+    if not rows:
+        return None
+    few = spark.createDataFrame(named, heavy.schema) if named else None
+    return HotKeys(few, len(named) < len(rows))
 
 
 def split_join(
@@ -89,24 +103,24 @@ def split_join(
     """Joins facts to ``side`` (one row per ``on``) without ever gathering a hot key.
 
     Facts of a hot key are joined where they are to the few matching ``side`` rows, which are
-    at most as many as there are hot keys; the others take the ordinary join. Facts without a
-    key can match nothing and, where they are kept, skip the shuffle altogether.
+    at most as many as there are hot keys; the others take the ordinary join. If the missing
+    key is hot, its facts, which can match nothing, skip the shuffle altogether.
     ``counted`` is a cheaper frame with the same keys as ``facts`` to find the hot ones in.
     """
     on = list(on)
     hot = hot_keys(facts if counted is None else counted, on, hot_rows)
-    has_key = F.lit(True)
-    for name in on:
-        has_key = has_key & F.col(name).isNotNull()
-    keyed = facts.where(has_key)
     if hot is None:
+        return facts.join(side, on, how)
+    has_key = reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in on])
+    keyed = facts.where(has_key) if hot.missing else facts
+    if hot.named is None:
         joined = keyed.join(side, on, how)
     else:
-        few = F.broadcast(hot)
+        few = F.broadcast(hot.named)
         hot_side = F.broadcast(side.join(few, on, "left_semi"))
         cold = keyed.join(few, on, "left_anti").join(side, on, how)
         joined = cold.unionByName(keyed.join(few, on, "left_semi").join(hot_side, on, how))
-    if how in ("left", "left_anti"):
+    if hot.missing and how in ("left", "left_anti"):
         joined = joined.unionByName(facts.where(~has_key), allowMissingColumns=True)
     return joined
 

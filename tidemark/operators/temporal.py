@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,6 @@ def point_in_time_join(
     defaults: Mapping[str, str] | None = None,
     few_versions: int = FEW_VERSIONS,
     hot_rows: int = joins.HOT_ROWS,
-    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Adds the attributes in effect at ``at``: ``take`` maps history columns to new names.
 
@@ -42,7 +42,6 @@ def point_in_time_join(
     With few versions per key this is an equality join with the interval as its residual
     condition, so a small history needs no shuffle of the facts. Past ``few_versions`` the
     last version is carried forward along the timeline instead, which stays linear.
-    ``counted`` is a cheaper frame with the same keys as ``facts`` to find hot keys in.
     """
     if not keys:
         raise ValueError("a point-in-time join needs an equality key")
@@ -50,7 +49,7 @@ def point_in_time_join(
     versions = history.select(*keys, "valid_from", "valid_to", *take)
     most = versions.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if most <= few_versions:
-        joined = _interval_join(facts, versions, keys, at, hot_rows, counted)
+        joined = _interval_join(facts, versions, keys, at, hot_rows)
         found = {new: F.col(f"_v.{old}") for old, new in take.items()}
     else:
         joined = timeline.as_of(
@@ -63,7 +62,7 @@ def point_in_time_join(
     return joined.select(*facts.columns, *[c.alias(new) for new, c in found.items()])
 
 
-def _interval_join(facts, versions, keys, at, hot_rows, counted):
+def _interval_join(facts, versions, keys, at, hot_rows):
     payload = versions.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.struct(*[c for c in versions.columns if c not in keys]).alias("_v"),
@@ -71,17 +70,25 @@ def _interval_join(facts, versions, keys, at, hot_rows, counted):
     condition = covers(F.col(at), F.col("_v.valid_from"), F.col("_v.valid_to"))
     for k in keys:
         condition = condition & (F.col(k) == F.col(f"_k_{k}"))
-    hot = hot_keys(facts if counted is None else counted, keys, hot_rows)
+    hot = hot_keys(facts, keys, hot_rows)
     if hot is None:
         return facts.join(payload, condition, "left")
-    # Hot facts meet only the versions of hot keys: at most ``few_versions`` rows for each.
-    few = F.broadcast(hot)
-    renamed = F.broadcast(hot.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
-    hot_versions = payload.join(renamed, [f"_k_{k}" for k in keys], "left_semi")
-    cold = facts.join(few, keys, "left_anti").join(payload, condition, "left")
-    return cold.unionByName(
-        facts.join(few, keys, "left_semi").join(F.broadcast(hot_versions), condition, "left")
-    )
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    keyed = facts.where(has_key) if hot.missing else facts
+    if hot.named is None:
+        joined = keyed.join(payload, condition, "left")
+    else:
+        # Hot facts meet only the versions of hot keys: at most ``few_versions`` rows for each.
+        few = F.broadcast(hot.named)
+        renamed = F.broadcast(hot.named.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
+        hot_versions = F.broadcast(payload.join(renamed, [f"_k_{k}" for k in keys], "left_semi"))
+        cold = keyed.join(few, keys, "left_anti").join(payload, condition, "left")
+        joined = cold.unionByName(
+            keyed.join(few, keys, "left_semi").join(hot_versions, condition, "left")
+        )
+    if hot.missing:
+        joined = joined.unionByName(facts.where(~has_key), allowMissingColumns=True)
+    return joined
 
 
 def asof_latest(

@@ -441,25 +441,19 @@ def invoice_revenue(
     if since is not None:
         invoices = invoices.where(F.to_date("invoiced_at") >= F.lit(since))
         lines, payments = joins.within_key_range(invoices, "invoice_id", lines, payments)
+    attributed = temporal.point_in_time_join(
+        invoices, history, ["customer_id"], "invoiced_at", {"plan_code": "plan_code"}
+    )
     billed = joins.rollup(lines, ["invoice_id"], {"billed_usd": F.sum("amount_usd")})
-    with_lines = invoices.join(billed, "invoice_id", "left")
     paid = joins.rollup_left(
-        with_lines,
+        attributed.join(billed, "invoice_id", "left"),
         payments,
         ["invoice_id"],
         {"collected_usd": F.sum("amount_usd")},
         {"collected_usd": "decimal(28,2)"},
     )
-    attributed = temporal.point_in_time_join(
-        paid,
-        history,
-        ["customer_id"],
-        "invoiced_at",
-        {"plan_code": "plan_code"},
-        counted=invoices,
-    )
-    return INVOICE_REVENUE.publish(
-        attributed.withColumn("invoice_date", F.to_date("invoiced_at")), wide)
+    dated = paid.withColumn("invoice_date", F.to_date("invoiced_at"))
+    return INVOICE_REVENUE.publish(dated, wide)
 
 
 def daily_revenue(revenue: DataFrame, wide: bool = False) -> DataFrame:
