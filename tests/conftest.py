@@ -13,7 +13,12 @@ from tidemark.session import local_session  # noqa: E402
 def spark(tmp_path_factory):
     shared = tmp_path_factory.mktemp("shared")
     session = local_session(
-        4, **{"spark.sql.shuffle.partitions": "3", "spark.checkpoint.dir": f"file:{shared}"}
+        4,
+        **{
+            "spark.sql.shuffle.partitions": "2",
+            "spark.sql.codegen.wholeStage": "false",  # compiling would dominate on a few rows
+            "spark.checkpoint.dir": f"file:{shared}",
+        },
     )
     yield session
     session.stop()

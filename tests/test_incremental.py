@@ -128,6 +128,36 @@ def test_incremental_runs_write_only_their_window(store, rows, tmp_path):
     assert store.spark.read.parquet(newest.path).count() == 3
 
 
+@pytest.mark.parametrize("strategy", ["delete_insert", "merge", "append"])
+def test_keyed_runs_also_write_only_their_window(store, rows, bag, strategy):
+    schema = "day date, city string, status string"
+    first = rows(schema, *[(day(d), c, "OK") for d in range(4) for c in "ab"])
+    upsert.run_incremental(store, "m", counts(first), "day", 1)
+    second = rows(schema, *[(day(d), "a", "OK") for d in (0, 2, 3, 3, 4)])
+    settings = dict(strategy=strategy, keys=["day", "city"])
+    state = upsert.run_incremental(store, "m", counts(second), "day", 2, 1, **settings)
+    new = counts(second)(DAY + dt.timedelta(days=2))
+    old = counts(first)(None)
+    want = {
+        "delete_insert": lambda: upsert.delete_insert(old, new, ["day", "city"]),
+        "merge": lambda: upsert.merge(old, new, ["day", "city"]),
+        "append": lambda: upsert.append(old, new),
+    }[strategy]()
+    assert bag(state) == bag(want)
+    assert store.pieces("m")[0].since == DAY + dt.timedelta(days=2)
+
+
+def test_keys_without_the_grain_write_the_table_whole(store, rows, bag):
+    schema = "day date, city string, status string"
+    first = rows(schema, (day(0), "a", "OK"), (day(5), "b", "OK"))
+    upsert.run_incremental(store, "m", counts(first), "day", 1)
+    second = rows(schema, (day(5), "a", "OK"), (day(5), "b", "OK"))
+    settings = dict(strategy="delete_insert", keys=["city"])
+    state = upsert.run_incremental(store, "m", counts(second), "day", 2, **settings)
+    assert bag(state) == [(day(5), "a", 1), (day(5), "b", 1)]
+    assert store.pieces("m")[0].since is None
+
+
 def test_pieces_are_put_together_from_time_to_time(store, rows, bag):
     schema = "day date, city string, status string"
     for run in range(1, 6):

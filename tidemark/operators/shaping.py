@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "_rank"
+MAX_RUNS = 100_000
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -34,10 +35,13 @@ def without_keys(df: DataFrame, unwanted: DataFrame, keys: Sequence[str]) -> Dat
 def run_labels(df: DataFrame, moment: str, label: str = "run_label") -> DataFrame:
     """Names each distinct moment R1, R2, ... in order.
 
-    There is one moment per run, so the one window below only ever holds that short list:
-    the rows themselves are reduced to distinct moments, map-side, first.
+    There is one moment per run, so the one window below only ever holds that short list: the
+    rows themselves are reduced to distinct moments, map-side, first. A column that turns out
+    not to name runs is refused rather than ranked in one task.
     """
     moments = df.select(moment).where(F.col(moment).isNotNull()).distinct()
+    if moments.limit(MAX_RUNS + 1).count() > MAX_RUNS:
+        raise ValueError(f"{moment!r} holds more than {MAX_RUNS} distinct moments")
     ranked = moments.withColumn("_one", F.lit(1)).withColumn(
         "_n", F.dense_rank().over(Window.partitionBy("_one").orderBy(moment))
     )

@@ -135,9 +135,10 @@ def run_incremental(
     """One nightly run: derive the window, build it from full upstream, commit, read back.
 
     ``build(since)`` returns the mart's rows with ``grain >= since`` (all rows for None). State
-    is read as of the runs before this one, so repeating a run repeats its result. Replacing a
-    window writes that window alone; every ``whole_every`` runs the table is written whole, to
-    keep the number of pieces a reader has to put together small.
+    is read as of the runs before this one, so repeating a run repeats its result. Only the
+    window is written: rows before it are untouched by any strategy whose keys include the grain
+    date. Every ``whole_every`` runs the table is written whole, to keep the number of pieces a
+    reader has to put together small.
     """
     if not is_incremental(store, name, run, full_refresh):
         store.write(name, run, build(None))
@@ -146,21 +147,25 @@ def run_incremental(
     newest = target.agg(F.max(grain)).first()[0]
     since = lower_bound(newest, lookback_days)
     new = align(build(since), target.schema, on_schema_change)
-    as_window = new.schema.names == target.schema.names and since is not None
-    if len(store.pieces(name, before_run=run)) >= whole_every:
-        as_window = False
-    if strategy == "replace_window" and as_window:
-        store.write(name, run, new, since)
-    elif strategy == "replace_window":
-        store.write(name, run, replace_window(target, new, grain, since))
+    windowed = (
+        since is not None
+        and (strategy in ("replace_window", "append") or grain in keys)
+        and new.schema.names == target.schema.names
+        and len(store.pieces(name, before_run=run)) < whole_every
+    )
+    if windowed:
+        target = target.where(F.col(grain) >= F.lit(since))
+    if strategy == "replace_window":
+        state = new if windowed else replace_window(target, new, grain, since)
     elif strategy == "delete_insert":
-        store.write(name, run, delete_insert(target, new, keys))
+        state = delete_insert(target, new, keys)
     elif strategy == "merge":
-        store.write(name, run, merge(target, new, keys))
+        state = merge(target, new, keys)
     elif strategy == "append":
-        store.write(name, run, append(target, new))
+        state = append(target, new)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
+    store.write(name, run, state, since if windowed else None)
     return store.read(name, grain, before_run=run + 1)
 
 
