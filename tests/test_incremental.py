@@ -118,6 +118,19 @@ def test_a_repeated_run_changes_nothing(store, rows, bag):
     assert once == again == bag(counts(two)(None))
 
 
+def test_a_rebuild_at_the_same_batch_wins(store, rows, bag):
+    schema = "day date, city string, status string"
+    one = rows(schema, (day(0), "a", "OK"), (day(3), "a", "OK"))
+    upsert.run_incremental(store, "m", counts(one), "day", 1)
+    upsert.run_incremental(store, "m", counts(one), "day", 2)
+    fixed = rows(schema, (day(0), "b", "OK"), (day(3), "a", "OK"))
+    state = upsert.run_incremental(store, "m", counts(fixed), "day", 2, full_refresh=True)
+    assert bag(state) == bag(counts(fixed)(None))
+    late = rows(schema, (day(0), "b", "OK"), (day(3), "a", "OK"), (day(4), "a", "OK"))
+    state = upsert.run_incremental(store, "m", counts(late), "day", 3)
+    assert bag(state) == bag(counts(late)(None))
+
+
 def test_incremental_runs_write_only_their_window(store, rows, tmp_path):
     schema = "day date, city string, status string"
     feed = rows(schema, *[(day(d), "a", "OK") for d in range(9)])
@@ -170,7 +183,7 @@ def test_pieces_are_put_together_from_time_to_time(store, rows, bag):
 def test_unfinished_writes_do_not_count(store, rows, bag, tmp_path):
     store.write("m", 1, rows(MART, (day(0), "a", 1)))
     store.write("m", 2, rows(MART, (day(0), "a", 2)))
-    (tmp_path / "marts" / "m" / "run=2@whole" / "_SUCCESS").unlink()
+    (tmp_path / "marts" / "m" / "run=2.0@whole" / "_SUCCESS").unlink()
     assert bag(store.read("m")) == [(day(0), "a", 1)]
 
 

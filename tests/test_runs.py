@@ -130,7 +130,7 @@ def test_late_rows_reach_back_and_a_rebuild_agrees(warehouse, deliveries, bag):
         ("2025-01-01", "B", 1, 1, "6.00", "2.00", "8.00"),
         ("2025-01-02", "B", 1, 0, "5.00", "0.00", "5.00"),
     ]
-    rebuilt = runs.daily_payouts(warehouse, **deliveries, batch=3, full_refresh=True)
+    rebuilt = runs.daily_payouts(warehouse, **deliveries, batch=2, full_refresh=True)
     assert bag(rebuilt["daily_payouts"]) == second
 
 

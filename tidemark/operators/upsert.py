@@ -155,6 +155,8 @@ def run_incremental(
     )
     if windowed:
         target = target.where(F.col(grain) >= F.lit(since))
+    if strategy in ("delete_insert", "merge"):
+        new = store.stage(name, run, new)
     if strategy == "replace_window":
         state = new if windowed else replace_window(target, new, grain, since)
     elif strategy == "delete_insert":

@@ -204,7 +204,8 @@ def accounts(
     warehouse: Warehouse, versions: DataFrame, orders: DataFrame, batch: int, run_ts: str
 ) -> Published:
     seen = feeds.staged_upto(versions, specs.ACCOUNT_VERSIONS, batch)
-    latest = marts.account_feed_latest(seen)
+    # Stored, as the checks and the snapshot each read it.
+    latest = _whole(warehouse, "account_feed_latest", batch, marts.account_feed_latest(seen))
     placed = feeds.stage(orders, specs.ACCOUNT_ORDERS)
     gate = Gate("accounts", warehouse.spark)
     gate.check(suites.account_feeds(seen, placed, latest))

@@ -25,9 +25,14 @@ class Piece:
     """What one run wrote: the whole table, or all its rows from ``since`` on."""
 
     run: int
+    attempt: int
     since: date | None
     path: str
 
+    @property
+    def order(self) -> tuple[int, int]:
+        return self.run, self.attempt
+
 
 def _children(spark: SparkSession, folder: str) -> list[str]:
     """Names below ``folder`` that hold a finished write."""
@@ -51,13 +56,8 @@ class MartStore:
 
     def pieces(self, name: str, before_run: int | None = None) -> list[Piece]:
         """Finished pieces, newest first, back to the newest whole one."""
-        every = []
-        for folder in _children(self.spark, f"{self.root}/{name}"):
-            run, since = folder.removeprefix("run=").split("@")
-            start = None if since == WHOLE else date.fromisoformat(since)
-            every.append(Piece(int(run), start, f"{self.root}/{name}/{folder}"))
         live = []
-        for piece in sorted(every, key=lambda p: p.run, reverse=True):
+        for piece in sorted(self._stored(name), key=lambda p: p.order, reverse=True):
             if before_run is not None and piece.run >= before_run:
                 continue
             live.append(piece)
@@ -65,6 +65,15 @@ class MartStore:
                 break
         return live
 
+    def _stored(self, name: str) -> list[Piece]:
+        found = []
+        for folder in _children(self.spark, f"{self.root}/{name}"):
+            number, since = folder.removeprefix("run=").split("@")
+            run, attempt = number.split(".")
+            start = None if since == WHOLE else date.fromisoformat(since)
+            found.append(Piece(int(run), int(attempt), start, f"{self.root}/{name}/{folder}"))
+        return found
+
     def exists(self, name: str, before_run: int | None = None) -> bool:
         return bool(self.pieces(name, before_run))
 
@@ -90,12 +99,19 @@ class MartStore:
         return table
 
     def write(self, name: str, run: int, df: DataFrame, since: date | None = None) -> None:
-        """Commits run ``run``; the same run again replaces its own earlier attempt."""
-        for other in _children(self.spark, f"{self.root}/{name}"):
-            at, _, start = other.removeprefix("run=").partition("@")
-            if int(at) == run and start != str(since or WHOLE):
-                raise ValueError(f"run {run} of {name!r} is already stored with another window")
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}/run={run}@{since or WHOLE}")
+        """Commits run ``run``. The same run again replaces its own earlier attempt; with another
+        window (as in a rebuild at the same batch) it becomes a further attempt, which wins."""
+        same = [p for p in self._stored(name) if p.run == run]
+        last = max(same, key=lambda p: p.attempt, default=None)
+        attempt = 0 if last is None else last.attempt + (last.since != since)
+        folder = f"run={run}.{attempt}@{since or WHOLE}"
+        df.write.mode("overwrite").parquet(f"{self.root}/{name}/{folder}")
+
+    def stage(self, name: str, run: int, df: DataFrame) -> DataFrame:
+        """Writes rows a run needs more than once, so that they are computed only once."""
+        folder = f"{self.root}/_staged/{name}/run={run}"
+        df.write.mode("overwrite").parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
 
 
 class HistoryStore:
