@@ -69,6 +69,16 @@ def test_freshness_of_an_empty_source_is_an_error(rows):
     assert feeds.freshness(feed, specs.ORDER_EXPORT_SOURCE, "2025-01-01").first().status == "error"
 
 
+def test_sources_are_folders_or_tables(spark, rows, tmp_path):
+    feed = rows("EXPORTED_AT timestamp_ntz", ("2025-01-01 00:00:00",))
+    feed.write.parquet(str(tmp_path / "export"))
+    feed.createOrReplaceTempView("export_table")
+    sources = feeds.Sources(spark)
+    for location in (str(tmp_path / "export"), "export_table"):
+        sources.declare(specs.ORDER_EXPORT_SOURCE, location)
+        assert sources.freshness("erp.orders", "2025-01-01 01:00:00").first().status == "pass"
+
+
 def test_undeclared_source_is_refused(spark):
     with pytest.raises(KeyError):
         feeds.Sources(spark).read("erp.orders")

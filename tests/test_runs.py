@@ -165,6 +165,74 @@ def test_payout_checks_fire_on_their_fault(deliveries, check):
     assert check in failing(PAYOUT_FAULTS[check](sound))
 
 
+def run_checks(bound):
+    from tidemark.operators.checks import run_suites
+
+    return {r.check_name for r in run_suites(bound).collect() if r.status == "error"}
+
+
+TENDER_FAULTS = {
+    "totals_tie_out_to_staging": lambda m: m.where("merchant_id <> 'n'"),
+    "methods_add_up_to_total": lambda m: m.withColumn(
+        "other_amount_usd", F.lit(0).cast("decimal(12,2)")
+    ),
+    "generated_columns_populated": lambda m: m.withColumn(
+        "card_order_count", F.nullif("card_order_count", F.lit(0))
+    ),
+    "grain_unique(merchant_id, order_month)": lambda m: m.unionByName(m),
+}
+
+
+@pytest.mark.parametrize("check", TENDER_FAULTS)
+def test_payment_pivot_checks_fire_on_their_fault(rows, check):
+    orders = rows(
+        "order_id string, merchant_id string, ordered_at timestamp_ntz",
+        ("o1", "m", "2025-01-01 00:00:00"), ("o2", "n", "2025-01-01 00:00:00"),
+    )
+    payments = rows(
+        "payment_id string, order_id string, payment_method string, status string, "
+        "amount_usd decimal(10,2)",
+        ("p1", "o1", "card", "captured", "5.00"), ("p2", "o1", None, "captured", "1.00"),
+        ("p3", "o2", "card", "failed", "9.00"),
+    )
+    mart = marts.merchant_month_payments(orders, payments, ["card"])
+    bound = lambda m: suites.merchant_month_payments(m, orders, payments, ["card"])
+    assert run_checks(bound(mart)) == set()
+    assert check in run_checks(bound(TENDER_FAULTS[check](mart)))
+
+
+REVENUE_FAULTS = {
+    "reconciles_with_invoices": lambda r, m: (r.where("invoice_id <> 'i2'"), m),
+    "plan_is_latest_version_then": lambda r, m: (r.withColumn("plan_code", F.lit("SCALE")), m),
+    "not_null(billed_usd)": lambda r, m: (
+        r.withColumn("billed_usd", F.nullif("billed_usd", F.lit(7))), m
+    ),
+    "totals_tie_out_to_staging": lambda r, m: (r, m.where("plan_code = 'GROWTH'")),
+    "grain_unique(invoice_date, plan_code)": lambda r, m: (r, m.unionByName(m)),
+    "accepted_values(plan_code)": lambda r, m: (r, m.withColumn("plan_code", F.lit("FREE"))),
+}
+
+
+@pytest.mark.parametrize("check", REVENUE_FAULTS)
+def test_revenue_checks_fire_on_their_fault(rows, check):
+    invoices = rows(
+        "invoice_id string, customer_id string, invoiced_at timestamp_ntz",
+        ("i1", "c", "2025-01-01 00:00:00"), ("i2", "c", "2025-01-05 00:00:00"),
+    )
+    lines = rows("invoice_id string, amount_usd decimal(10,2)", ("i1", "5.00"), ("i2", "7.00"))
+    payments = rows("invoice_id string, amount_usd decimal(10,2)", ("i1", "2.00"))
+    history = rows(
+        "customer_id string, plan_code string, valid_from timestamp_ntz, valid_to timestamp_ntz",
+        ("c", "STARTER", "2024-01-01 00:00:00", "2025-01-05 00:00:00"),
+        ("c", "GROWTH", "2025-01-05 00:00:00", None),
+    )
+    revenue = marts.invoice_revenue(invoices, lines, payments, history)
+    mart = marts.daily_revenue(revenue)
+    bound = lambda r, m: suites.daily_revenue(r, m, invoices, lines, payments, history)
+    assert run_checks(bound(revenue, mart)) == set()
+    assert check in run_checks(bound(*REVENUE_FAULTS[check](revenue, mart)))
+
+
 def test_a_check_that_never_ran_is_noticed(spark, warehouse):
     gate = runs.Gate("daily_payouts", spark)
     with pytest.raises(CheckCountMismatch):

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import snapshot
+from tidemark.operators import history_checks, snapshot
 from tidemark.sources.store import HistoryStore, NotRebuildable
 
 DUMP = "k string, name string, dep string, updated_at timestamp_ntz"
@@ -97,6 +97,21 @@ def test_timestamp_windows_are_in_source_time(store, rows, bag):
     ]
 
 
+def test_rehire_in_source_time_can_invert_the_termination_and_is_caught(store, rows, bag):
+    """Terminations are stamped with the run, versions with the source: the check reports it."""
+    spec = check_spec(strategy="timestamp", updated_at="updated_at")
+    old = "2025-01-20 00:00:00"
+    ann, bob = ("a", "Ann", "X", old), ("b", "Bob", "X", old)
+    history = play(store, spec, rows, [ann, bob], [ann], [ann, bob])
+    assert bag(history.where("k = 'b'"), *SHOWN[1:]) == [
+        ("X", old, None, False),
+        ("X", old, D2, False),
+        ("X", D2, old, True),
+    ]
+    failing = history_checks.window_overlaps(history, ["k"])
+    assert "empty window" in {r.failure for r in failing.collect()}
+
+
 def test_version_ids_are_unique_and_stable(store, rows):
     ann, bob = ("a", "Ann", "X", D1), ("b", "Bob", "X", D1)
     play(store, check_spec(), rows, [ann, bob], [ann], [ann, bob])

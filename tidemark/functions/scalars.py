@@ -45,7 +45,8 @@ def percent(part: Column, whole: Column) -> Column:
 
     Staying in integers keeps the rounding the same on every engine.
     """
-    hundredths = F.floor((part * 20000 + whole) / (whole * 2).cast("decimal(20,0)"))
+    doubled, by = part * 20000 + whole, whole * 2
+    hundredths = (doubled - doubled % by) / by
     return (hundredths.cast("decimal(18,2)") / 100).cast("decimal(7,2)")
 
 

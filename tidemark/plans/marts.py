@@ -439,7 +439,8 @@ def invoice_revenue(
     invoice without lines keeps a missing ``billed_usd`` for the checks to report.
     """
     if since is not None:
-        invoices = invoices.where(F.to_date("invoiced_at") >= F.lit(since))
+        # Compared as a moment, so that the bound reaches the scan.
+        invoices = invoices.where(F.col("invoiced_at") >= F.lit(str(since)).cast("timestamp_ntz"))
         lines, payments = joins.within_key_range(invoices, "invoice_id", lines, payments)
     attributed = temporal.point_in_time_join(
         invoices, history, ["customer_id"], "invoiced_at", {"plan_code": "plan_code"}

@@ -103,13 +103,15 @@ class Sources:
         self.specs: dict[str, SourceSpec] = {}
 
     def declare(self, spec: SourceSpec, location: str) -> None:
+        """``location`` is a folder of Parquet files or the name of a catalog table."""
         self.specs[spec.name] = spec
         self._locations[spec.name] = location
 
     def read(self, name: str) -> DataFrame:
         if name not in self._locations:
             raise KeyError(f"source {name!r} is not declared")
-        return self._spark.read.parquet(self._locations[name])
+        location = self._locations[name]
+        return self._spark.read.parquet(location) if "/" in location else self._spark.table(location)
 
     def freshness(self, name: str, as_of: datetime | str) -> DataFrame:
         return freshness(self.read(name), self.specs[name], as_of)
