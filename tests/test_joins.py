@@ -52,10 +52,11 @@ def test_two_many_sides_do_not_multiply_each_other(rows, bag):
     assert bag(result, "h", "a", "b") == [(1, 3, 20), (2, 0, 10)]
 
 
-def test_lookup_default_covers_unmapped_and_missing_codes(rows, bag):
+@pytest.mark.parametrize("hot_rows", [None, 0, 1000])
+def test_lookup_default_covers_unmapped_and_missing_codes(rows, bag, hot_rows):
     facts = rows("code string, n int", ("FR", 1), ("XX", 2), (None, 3))
     names = rows("code string, region string", ("FR", "EMEA"), ("JP", "APAC"))
-    found = joins.lookup(facts, names, "code", "region", "Unmapped")
+    found = joins.lookup(facts, names, "code", "region", "Unmapped", hot_rows)
     assert bag(found, "n", "region") == [(1, "EMEA"), (2, "Unmapped"), (3, "Unmapped")]
 
 
@@ -70,6 +71,13 @@ def test_split_join_equals_the_plain_join(rows, bag, how, hot_rows):
     assert bag(got, *want.columns) == bag(want)
 
 
+def test_only_small_frames_are_marked_for_broadcast(rows, capsys):
+    df = rows("k int", (1,), (2,), (3,))
+    joins.broadcast_if_small(df, 3).explain(True)
+    assert "broadcast" in capsys.readouterr().out.lower()
+    assert joins.broadcast_if_small(df, 2) is df
+
+
 def test_hot_keys_are_those_above_the_limit(rows, bag):
     facts = rows("k int", *[(k,) for k in [1] * 5 + [2] * 3 + [3] + [None] * 9])
     few = joins.hot_keys(facts, ["k"], 2)

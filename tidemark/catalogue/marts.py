@@ -68,6 +68,22 @@ def billable_events(spark, sf_dir):
     return marts.billable_usage(star.usage_events(s), star.subscriptions(s))
 
 
+@query(
+    """
+    select event_id, subscription_id, plan_code, event_date, units
+    from usage_events join subscriptions using (subscription_id)
+    where is_billable and status = 'active'
+    """
+)
+def billable_events_hot_keys(spark, sf_dir):
+    """The same with a row limit low enough to treat the busier subscriptions apart."""
+    s = Star(spark, sf_dir)
+    active = star.subscriptions(s).where(F.col("status") == "active")
+    events = star.usage_events(s).where(F.col("is_billable"))
+    joined = joins.attach(events, active.drop("status"), ["subscription_id"], hot_rows=400)
+    return marts.BILLABLE_USAGE.publish(joined)
+
+
 @query(
     """
     select plan_code, cast(count(*) as bigint) as subscription_count,

@@ -28,9 +28,23 @@ def left_zero_fill(
     return zero_filled(spine.join(measures, list(on), "left"), zeros)
 
 
-def lookup(facts: DataFrame, names: DataFrame, on: str, column: str, default: str) -> DataFrame:
-    """Adds ``column`` from a lookup unique on ``on``; facts without a match get ``default``."""
-    found = facts.join(names.select(on, column), on, "left")
+def lookup(
+    facts: DataFrame,
+    names: DataFrame,
+    on: str,
+    column: str,
+    default: str,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Adds ``column`` from a lookup unique on ``on``; facts without a match get ``default``.
+
+    ``hot_rows=None`` says that the facts are already reduced to one row per ``on``.
+    """
+    wanted = names.select(on, column)
+    if hot_rows is None:
+        found = facts.join(wanted, on, "left")
+    else:
+        found = split_join(facts, wanted, [on], "left", hot_rows)
     return found.withColumn(column, F.coalesce(F.col(column), F.lit(default)))
 
 
@@ -92,6 +106,11 @@ def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> HotKeys | No
     return HotKeys(few, len(named) < len(rows))
 
 
+def broadcast_if_small(df: DataFrame, limit: int) -> DataFrame:
+    """``df`` marked for broadcast if it has no more than ``limit`` rows, else as it is."""
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+
+
 def split_join(
     facts: DataFrame,
     side: DataFrame,
@@ -117,7 +136,7 @@ def split_join(
         joined = keyed.join(side, on, how)
     else:
         few = F.broadcast(hot.named)
-        hot_side = F.broadcast(side.join(few, on, "left_semi"))
+        hot_side = broadcast_if_small(side.join(few, on, "left_semi"), MAX_HOT_KEYS)
         cold = keyed.join(few, on, "left_anti").join(side, on, how)
         joined = cold.unionByName(keyed.join(few, on, "left_semi").join(hot_side, on, how))
     if hot.missing and how in ("left", "left_anti"):

@@ -81,7 +81,10 @@ def _interval_join(facts, versions, keys, at, hot_rows):
         # Hot facts meet only the versions of hot keys: at most ``few_versions`` rows for each.
         few = F.broadcast(hot.named)
         renamed = F.broadcast(hot.named.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
-        hot_versions = F.broadcast(payload.join(renamed, [f"_k_{k}" for k in keys], "left_semi"))
+        hot_versions = joins.broadcast_if_small(
+            payload.join(renamed, [f"_k_{k}" for k in keys], "left_semi"),
+            joins.MAX_HOT_KEYS * FEW_VERSIONS,
+        )
         cold = keyed.join(few, keys, "left_anti").join(payload, condition, "left")
         joined = cold.unionByName(
             keyed.join(few, keys, "left_semi").join(hot_versions, condition, "left")

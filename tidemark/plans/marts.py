@@ -64,7 +64,7 @@ def region_revenue(orders: DataFrame, country_region: DataFrame, wide: bool = Fa
         sum_where(completed, F.col("amount_usd")).alias("revenue"),
     )
     result = (
-        joins.lookup(per_country, country_region, "country_code", "region", UNMAPPED)
+        joins.lookup(per_country, country_region, "country_code", "region", UNMAPPED, None)
         .groupBy("region")
         .agg(
             F.sum("n").alias("total_order_count"),
