@@ -87,6 +87,18 @@ def test_hot_keys_are_those_above_the_limit(rows, bag):
     assert joins.hot_keys(facts, ["k"], 9) is None
 
 
+def test_large_limits_are_judged_on_a_sample(spark, bag):
+    facts = spark.range(300_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    sample, share = joins.sampled(facts, 40_000)
+    assert share == 0.25 and 70_000 < sample.count() < 80_000
+    few = joins.hot_keys(facts, ["k"], 40_000)
+    assert bag(few.named) == [(-1,)] and not few.missing
+    assert joins.hot_keys(facts, ["k"], 200_000) is None
+    dim = spark.createDataFrame([(-1, "hot"), (1, "cold")], "k bigint, d string")
+    joined = joins.attach(facts, dim, ["k"], "left", hot_rows=40_000)
+    assert bag(joined.groupBy("d").count()) == [(None, 199_999), ("cold", 1), ("hot", 100_000)]
+
+
 def test_keep_and_drop_keys(rows, bag):
     facts = rows("k int, v int", (1, 1), (2, 2), (None, 3))
     some = rows("k int", (2,), (2,))

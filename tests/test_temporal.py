@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.operators import snapshot, temporal, timeline
+from tidemark.operators import joins, snapshot, temporal, timeline
 from tidemark.sources.store import HistoryStore
 
 START = dt.datetime(2025, 1, 1)
@@ -120,6 +120,21 @@ def test_point_in_time_equals_asof_equals_brute_force(spark, rows, bag, versions
     assert sorted(bag(got, "id", "v"), key=str) == want
 
 
+def test_moments_outside_the_sampled_range_are_kept(spark, monkeypatch):
+    """A tiny sample sees part of the range only; rows before and after it still count."""
+    monkeypatch.setattr(joins, "SAMPLE_HITS", 50)
+    log = spark.range(4000).select(
+        F.lit("a").alias("k"),
+        F.expr("timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, id)").alias("ts"),
+        "id",
+    )
+    cuts = timeline.stretches_for(log, ["k"], "ts", 500)
+    assert cuts is not None
+    got = timeline.with_next(log, ["k"], "ts", ["id"], "n", hot_rows=500)
+    wrong = got.where(~F.col("n.id").eqNullSafe(F.when(F.col("id") < 3999, F.col("id") + 1)))
+    assert got.count() == 4000 and wrong.isEmpty()
+
+
 def test_stretches_keep_clock_order_over_a_day_change(rows):
     df = rows("k string, ts timestamp_ntz", *[("a", at(h)) for h in range(60)])
     cuts = timeline.stretches_for(df, ["k"], "ts", 4)

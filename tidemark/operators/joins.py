@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Rows of one key that a single task may receive in a row-preserving join.
 HOT_ROWS = 20_000_000
+# How often a key at the limit should show up in the sample that looks for hot keys.
+SAMPLE_HITS = 10_000
 # Most hot keys handled apart; any further ones take the ordinary shuffle, which is exact too.
 MAX_HOT_KEYS = 10_000
 
@@ -84,16 +86,28 @@ class HotKeys:
     missing: bool
 
 
+def sampled(df: DataFrame, hot_rows: int) -> tuple[DataFrame, float]:
+    """Enough of ``df`` to tell whether a key has ``hot_rows`` rows, and the share that is.
+
+    A key at the limit shows up about ``SAMPLE_HITS`` times, so the count that follows shuffles a
+    small fraction of the keys. Limits up to ``SAMPLE_HITS`` are decided on all rows.
+    """
+    share = min(1.0, SAMPLE_HITS / max(hot_rows, 1))
+    return (df if share == 1.0 else df.sample(share, seed=SAMPLE_HITS)), share
+
+
 def hot_keys(facts: DataFrame, on: Sequence[str], hot_rows: int) -> HotKeys | None:
-    """The keys with more than ``hot_rows`` facts, or None.
+    """The keys with more than about ``hot_rows`` facts, or None.
 
-    One count per key, combined map-side, reading only the key columns. At most
+    One count per key on a sample of the key columns. The answer only chooses how a join is
+    carried out: its rows are the same whichever keys are listed. At most
     ``len(facts) / hot_rows`` keys can qualify.
     """
     spark: SparkSession = facts.sparkSession
-    counted = facts.groupBy(*on).count()
+    sample, share = sampled(facts.select(*on), hot_rows)
+    counted = sample.groupBy(*on).count()
     heavy = (
-        counted.where(F.col("count") > hot_rows)
+        counted.where(F.col("count") > hot_rows * share)
         .orderBy(F.col("count").desc())
         .limit(MAX_HOT_KEYS)
         .select(*on)

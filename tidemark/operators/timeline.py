@@ -1,7 +1,7 @@
 """Neighbour, running and as-of columns along a key's timeline, safe for very long timelines.
 
 A window partitioned by key sorts one key's rows in one task. That is the plan used while no
-key is longer than ``hot_rows`` (one map-side combined count decides). Otherwise every timeline
+key is longer than ``hot_rows`` (a count per key on a sample decides). Otherwise every timeline
 is cut into stretches of equal time, each stretch is its own window partition, and what a
 stretch needs from its neighbours is carried over as one extra edge row. The edge values come
 from one row per (key, stretch), so no task ever holds a whole long timeline. Both plans give
@@ -10,6 +10,7 @@ the same rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import sampled
+
 HOT_ROWS = 20_000_000
 # Stretches are cut finer than the row count asks for, as rows need not be even in time.
 FINENESS = 8
@@ -52,15 +55,20 @@ class Stretches:
 def stretches_for(
     timelines: DataFrame, keys: Sequence[str], moment: str, hot_rows: int
 ) -> Stretches | None:
-    """None while every key fits one task, else the stretches to cut timelines into."""
+    """None while every key fits one task, else the stretches to cut timelines into.
+
+    Decided on a sample: it chooses the plan and the cuts, never the rows. Moments outside the
+    sampled range simply fall into stretches before the first or after the last.
+    """
     clock = seconds(F.col(moment), timelines.schema[moment].dataType)
-    per_key = timelines.groupBy(*keys).agg(
+    sample, share = sampled(timelines.select(*keys, moment), hot_rows)
+    per_key = sample.groupBy(*keys).agg(
         F.count("*").alias("n"), F.min(clock).alias("lo"), F.max(clock).alias("hi")
     )
     longest, lo, hi = per_key.agg(F.max("n"), F.min("lo"), F.max("hi")).first()
-    if longest is None or longest <= hot_rows or lo is None:
+    if longest is None or longest <= hot_rows * share or lo is None:
         return None
-    pieces = FINENESS * -(-longest // hot_rows)
+    pieces = FINENESS * math.ceil(longest / share / hot_rows)
     return Stretches(int(lo), max(1, -(-(int(hi) - int(lo) + 1) // pieces)))
 
 
