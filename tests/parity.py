@@ -14,7 +14,9 @@ import pandas as pd  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
 from tidemark.session import local_session  # noqa: E402
 
-TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events") + (
+    "documents", "embeddings", "pages", "benchmark", "labels", "conversations"
+)
 
 
 def oracle_connection(sf_dir):
