@@ -56,10 +56,10 @@ class WordEncoder:
 
     def _simple(self, text: str) -> bytes:
         words, seen = text.lower().split(), self.seen
-        try:
-            return b"".join([seen[w] for w in words])
-        except KeyError:
-            fresh = {w for w in words if w not in seen}
+        found = list(map(seen.get, words))
+        if None not in found:
+            return b"".join(found)
+        fresh = {w for w, ids in zip(words, found, strict=True) if ids is None}
         if len(seen) + len(fresh) > REMEMBERED:
             seen.clear()
             fresh = set(words)
@@ -74,7 +74,7 @@ class WordEncoder:
             known.update(zip(batch, self._encode(batch), strict=True))
         for word, row in parts.items():
             seen[word] = b"".join([known[p] for p in row])
-        return b"".join([seen[w] for w in words])
+        return b"".join(map(seen.__getitem__, words))
 
     def _whole(self, word: str) -> bytes:
         return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
