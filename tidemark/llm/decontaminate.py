@@ -33,10 +33,13 @@ def plain_words(text: Column) -> Column:
 
 
 def _shingle_rows(df: DataFrame, width: int, *keep: str) -> DataFrame:
-    """A row per shingle of ``_w`` with its first place ``_i``; the words are not copied."""
-    last = F.greatest(F.size("_w") - width, F.lit(0))
-    spread = df.select(*keep, "_w", F.posexplode("_w").alias("_i", "_word"))
-    return spread.where(F.col("_i") <= last)
+    """A row per shingle of ``_w`` with its first place ``_i``; the words are not copied.
+
+    Places are generated by an expression: for a bare column, Spark would add a filter on its size
+    and split every text twice.
+    """
+    places = F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.greatest(F.size("_w") - width, F.lit(0))))
+    return df.select(*keep, "_w", F.explode(places).alias("_i"))
 
 
 def _hash(width: int) -> Column:

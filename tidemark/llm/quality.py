@@ -118,8 +118,14 @@ def failure_bits() -> Column:
 
 
 def ledger(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with the measurements and ``fail_bits``."""
-    return measured(df, text).withColumn("fail_bits", failure_bits())
+    """``df`` with the measurements and ``fail_bits``.
+
+    They come out of a one-element ``inline``, as a filter on them must not move below: it would
+    be put in terms of the text and repeat the work for every use of an array.
+    """
+    entry = F.inline(F.array(F.struct(*MEASURES, failure_bits().alias("fail_bits"))))
+    found = measured(df, text)
+    return found.select(*[c for c in found.columns if c not in (*MEASURES, "fail_bits")], entry)
 
 
 def passes(names: tuple[str, ...]) -> Column:
