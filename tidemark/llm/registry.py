@@ -1,8 +1,8 @@
 """The registered queries of the package and their SQL."""
 
-from . import decontaminate, mixing, packed, quality, simhash
+from . import decontaminate, mixing, packed, pseudonyms, quality, simhash, token_counts, urls
 
-SECTIONS = (decontaminate, simhash, quality, packed, mixing)
+SECTIONS = (decontaminate, simhash, token_counts, urls, quality, pseudonyms, packed, mixing)
 
 
 def queries():
