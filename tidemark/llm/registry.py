@@ -1,8 +1,8 @@
 """The registered queries of the package and their SQL."""
 
-from . import decontaminate, mixing, packed, pseudonyms, quality, simhash, substrings, token_counts, urls
+from . import decontaminate, mixing, packed, pseudonyms, quality, simhash, substrings, suffixes, token_counts, urls
 
-SECTIONS = (decontaminate, simhash, token_counts, urls, quality, substrings, pseudonyms, packed, mixing)
+SECTIONS = (decontaminate, simhash, token_counts, urls, quality, substrings, suffixes, pseudonyms, packed, mixing)
 
 
 def queries():
