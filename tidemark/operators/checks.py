@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -214,16 +214,23 @@ def run_suites(suites: Sequence[CheckSuite], expected: int | None = None) -> Dat
     return reduce(DataFrame.unionByName, [s.results() for s in suites])
 
 
-def relation_kind(spark: SparkSession, store: MartStore, name: str) -> str:
-    """``table`` if stored, ``view`` if in the catalog, ``ephemeral`` if it exists nowhere."""
+def relation_kind(
+    spark: SparkSession, store: MartStore, name: str, inlined: Collection[str] = ()
+) -> str:
+    """``table`` if stored, ``view`` if in the catalog, ``ephemeral`` if it exists as a function only.
+
+    ``inlined`` names those functions; any other name is ``missing``.
+    """
     if store.exists(name):
         return "table"
-    return "view" if spark.catalog.tableExists(name) else "ephemeral"
+    if spark.catalog.tableExists(name):
+        return "view"
+    return "ephemeral" if name in inlined else "missing"
 
 
 def wrong_materializations(
-    spark: SparkSession, store: MartStore, expected: Mapping[str, str]
+    spark: SparkSession, store: MartStore, expected: Mapping[str, str], inlined: Collection[str] = ()
 ) -> list[str]:
     """Relations that do not exist in the way they are meant to."""
-    kinds = {name: relation_kind(spark, store, name) for name in expected}
+    kinds = {name: relation_kind(spark, store, name, inlined) for name in expected}
     return [f"{n}: {kinds[n]}, not {want}" for n, want in expected.items() if kinds[n] != want]

@@ -117,7 +117,9 @@ def merge_versions(
     )
     was, is_ = F.col("o").isNotNull(), F.col("c").isNotNull()
     if spec.strategy == "timestamp":
-        differs = F.col(f"c.{spec.updated_at}").cast("timestamp_ntz") > F.col("o.version_updated_at")
+        # a missing moment has not advanced: the open version stays
+        later = F.col(f"c.{spec.updated_at}").cast("timestamp_ntz") > F.col("o.version_updated_at")
+        differs = F.coalesce(later, F.lit(False))
     else:
         names = spec.compared(current.schema)
         differs = ~F.struct(*[f"c.{n}" for n in names]).eqNullSafe(

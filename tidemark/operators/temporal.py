@@ -115,8 +115,14 @@ def asof_latest(
 def scd2_from_log(
     log: DataFrame, keys: Sequence[str], ts: str, hot_rows: int = timeline.HOT_ROWS
 ) -> DataFrame:
-    """History straight from a complete version log: each row holds until the key's next row."""
-    following = timeline.with_next(log, keys, ts, [ts], "_next", hot_rows=hot_rows)
+    """History straight from a complete version log: each row holds until the key's next row.
+
+    Rows of one key and moment are ordered by their other columns, so that a task run again
+    closes the same ones.
+    """
+    others = [c for c in log.columns if c not in (*keys, ts)]
+    ties = [F.xxhash64(*others)] if others else []
+    following = timeline.with_next(log, keys, ts, [ts], "_next", ties, hot_rows)
     return following.withColumns(
         {"valid_from": F.col(ts), "valid_to": F.col(f"_next.{ts}")}
     ).drop("_next", ts)
@@ -150,7 +156,10 @@ def scd2_from_dumps(
         f"{batch} int, _before int, _now string, _then string",
     ).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("_now", "_then")})
     # The calendar has one row per run and is built from a list: a size known beforehand.
-    dated = dumps.join(F.broadcast(calendar), batch)
+    unlisted = F.raise_error(F.concat(F.lit("dump batch without a run: "), F.coalesce(F.col(batch).cast("string"), F.lit("missing"))))
+    dated = dumps.join(F.broadcast(calendar), batch, "left").withColumn(
+        "_now", F.coalesce("_now", unlisted.cast("timestamp_ntz"))
+    )
     along = Window.partitionBy(*keys).orderBy(batch)
     seen = dated.withColumns(
         {

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -173,11 +174,16 @@ def as_of(
     """Adds struct ``into``: the ``take`` columns of the key's last version not after ``at``.
 
     Facts and versions share one timeline per key, on which the last seen version is carried
-    forward: one shuffle, no pairing of facts with versions. Every fact stays, once.
+    forward: one shuffle, no pairing of facts with versions. Every fact stays, once. As in an
+    equality join, facts and versions without a key match nothing, nor do versions without a
+    start; of versions with one start the one with the greatest values in ``take`` holds.
     """
     keys = list(keys)
     when, turn, fact = "_when", "_turn", "_fact"
     value = F.struct(*take)
+    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    versions = versions.where(keyed & F.col(starts).isNotNull())
+    unkeyed, facts = facts.where(~keyed), facts.where(keyed)
     timeline = versions.select(
         *keys, F.col(starts).alias(when), F.lit(0).alias(turn), value.alias(CARRY)
     ).unionByName(
@@ -186,13 +192,13 @@ def as_of(
         ),
         allowMissingColumns=True,
     )
-    order = [F.col(when), F.col(turn)]
+    order = [F.col(when), F.col(turn), F.col(CARRY)]
     cuts = stretches_for(timeline.select(*keys, when), keys, when, hot_rows)
     if cuts is None:
         within = Window.partitionBy(*keys).orderBy(*order)
     else:
         timeline = _cut(timeline, when, cuts)
-        is_version = F.when(F.col(turn) == 0, F.col(when))
+        is_version = F.when(F.col(turn) == 0, F.struct(when, CARRY))
         lasts = timeline.groupBy(*keys, STRETCH).agg(F.max_by(CARRY, is_version).alias(CARRY))
         along = Window.partitionBy(*keys).orderBy(STRETCH)
         edges = lasts.withColumns(
@@ -207,9 +213,8 @@ def as_of(
     carried = F.last(CARRY, ignorenulls=True).over(
         within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return (
-        timeline.withColumn(into, carried).where(F.col(turn) == 1).select(f"{fact}.*", into)
-    )
+    found = timeline.withColumn(into, carried).where(F.col(turn) == 1).select(f"{fact}.*", into)
+    return found.unionByName(unkeyed, allowMissingColumns=True)
 
 
 def _up_to_previous(window):

@@ -78,10 +78,14 @@ def merge(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def replace_window(target: DataFrame, new: DataFrame, grain: str, since: date | None) -> DataFrame:
-    """Target rows before ``since``, then ``new``: also removes groups that no longer exist."""
+    """Target rows before ``since``, then ``new``: also removes groups that no longer exist.
+
+    Rows without a grain date are in no window: those of the target stay.
+    """
     if since is None:
         return new
-    return append(target.where(F.col(grain) < F.lit(since)), new.where(F.col(grain) >= F.lit(since)))
+    earlier = target.where(F.col(grain).isNull() | (F.col(grain) < F.lit(since)))
+    return append(earlier, new.where(F.col(grain) >= F.lit(since)))
 
 
 def touched_keys(new_rows: DataFrame, keys: Sequence[str]) -> DataFrame:

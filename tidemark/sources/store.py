@@ -92,7 +92,8 @@ class MartStore:
             if upper is not None:
                 if grain is None:
                     raise ValueError(f"{name!r} is kept in windows: name its grain date column")
-                rows = rows.where(F.col(grain) < F.lit(upper))
+                # rows without a date are in no window and stay as they were last built
+                rows = rows.where(F.col(grain).isNull() | (F.col(grain) < F.lit(upper)))
             table = rows if table is None else table.unionByName(rows)
             if piece.since is not None:
                 upper = piece.since if upper is None else min(upper, piece.since)

@@ -2,7 +2,8 @@
 
 ``trigger(availableNow=True)`` works through whatever has been delivered since the last run and
 stops. Spark's checkpoint remembers which files were seen; a micro-batch that is repeated after a
-failure overwrites what its first attempt wrote, since every write is named by its batch number.
+failure overwrites what its first attempt wrote. The raw log is kept by load, so a load that is
+delivered again replaces its rows instead of adding to them.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.upsert import run_incremental
@@ -23,7 +25,9 @@ def deliver(rows: DataFrame, landing: str, load: int) -> None:
 
 
 def read_landing(spark: SparkSession, landing: str, schema: T.StructType) -> DataFrame:
-    return spark.readStream.schema(schema).parquet(f"{landing}/load=*")
+    """New rows with the ``load`` they belong to, which is named by their folder."""
+    load = F.regexp_extract(F.input_file_name(), r"/load=(\d+)/", 1).cast("int")
+    return spark.readStream.schema(schema).parquet(f"{landing}/load=*").withColumn("load", load)
 
 
 def stream_mart(
@@ -44,10 +48,9 @@ def stream_mart(
     store, log = MartStore(spark, f"{root}/marts"), f"{root}/log"
 
     def one_batch(rows: DataFrame, number: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{log}/arrival={number}")
-        seen = spark.read.schema(schema).parquet(
-            *[f"{log}/arrival={n}" for n in range(number + 1)]
-        )
+        by_load = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        by_load.partitionBy("load").parquet(log)
+        seen = spark.read.schema(schema).parquet(log).select(*schema.names)
         run_incremental(store, name, lambda since: build(seen, since), grain, number + 1,
                         lookback_days=lookback_days)
 
