@@ -6,8 +6,11 @@ vector comparison, wherever documents begin. A block reports how many ends it ho
 before its first and after its last. A prefix scan over the blocks' reports then says which document
 each block starts in and how many ids of it came before: documents may span any number of blocks.
 
-Defined cases: a missing or empty text has no tokens; repeated rows and ids are documents of their
-own; documents without id come last; ids after a file's last end are a document without an end and
+Files are written where the texts are read, without a shuffle; each attempt of a task names its own
+file, and the list of documents says which one counts.
+
+Defined cases: a missing or empty text has no tokens; repeated rows and ids, and rows without id, are
+documents of their own; ids after a file's last end are a document without an end and
 are not counted; an empty table has no files and no rows. A file whose size is not a whole number
 of ids raises.
 """
@@ -35,19 +38,15 @@ BLOCK_BYTES = 1 << 22
 def write_flat(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end: int = END
 ) -> DataFrame:
-    """Writes one flat file per range of ids; returns (part, path, place, id), a row per document."""
+    """Writes one flat file per partition; returns (part, path, place, id), a row per document."""
     spark = docs.sparkSession
     vocabulary, folder = vocabulary or public_vocabulary(), fresh_folder(spark, "llm-flat")
-    order = [F.col("id").isNull(), F.col("id"), F.col("text")]
-    ranged = (
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-        .repartitionByRange(shuffle_partitions(spark), *order[:2])
-        .sortWithinPartitions(*order)
-    )
+    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, part = word_encoder(vocabulary, plain_specials=True), TaskContext.get().partitionId()
-        path, stop, place = f"{folder}/part-{part:06d}.u16", np.array([end], "<u2").tobytes(), 0
+        encoder, task = word_encoder(vocabulary, plain_specials=True), TaskContext.get()
+        part, stop, place = task.partitionId(), np.array([end], "<u2").tobytes(), 0
+        path = f"{folder}/part-{part:06d}-{task.taskAttemptId()}.u16"
         first = next(batches, None)
         if first is None:
             return
@@ -61,7 +60,7 @@ def write_flat(
                 place += len(first)
                 first = next(batches, None)
 
-    return staged(ranged.mapInPandas(write, "part int, path string, place long, id long"), "flat")
+    return staged(plain.mapInPandas(write, "part int, path string, place long, id long"), "flat")
 
 
 def file_sizes(paths: DataFrame) -> DataFrame:
