@@ -72,6 +72,12 @@ def test_asof_reads_no_ends(history, facts, bag):
     assert dict(bag(got, "id", "t"))[7] == "two"  # the gap is invisible without the ends
 
 
+@pytest.fixture(autouse=True)
+def fine_cuts(monkeypatch):
+    """A few rows already make several stretches."""
+    monkeypatch.setattr(timeline, "LEAST_ROWS", 4)
+
+
 timelines = st.lists(
     st.tuples(st.sampled_from("ab"), st.integers(0, 200)), min_size=1, max_size=40, unique=True
 )
@@ -128,8 +134,7 @@ def test_moments_outside_the_sampled_range_are_kept(spark, monkeypatch):
         F.expr("timestamp_ntz'2025-01-01 00:00:00' + make_dt_interval(0, 0, id)").alias("ts"),
         "id",
     )
-    cuts = timeline.stretches_for(log, ["k"], "ts", 500)
-    assert cuts is not None
+    assert timeline.stretches_for(log, ["k"], 500) is not None
     got = timeline.with_next(log, ["k"], "ts", ["id"], "n", hot_rows=500)
     wrong = got.where(~F.col("n.id").eqNullSafe(F.when(F.col("id") < 3999, F.col("id") + 1)))
     assert got.count() == 4000 and wrong.isEmpty()
@@ -137,12 +142,26 @@ def test_moments_outside_the_sampled_range_are_kept(spark, monkeypatch):
 
 def test_stretches_keep_clock_order_over_a_day_change(rows):
     df = rows("k string, ts timestamp_ntz", *[("a", at(h)) for h in range(60)])
-    cuts = timeline.stretches_for(df, ["k"], "ts", 4)
-    type_ = df.schema["ts"].dataType
-    found = df.orderBy("ts").select(cuts.of(F.col("ts"), type_).alias("s")).collect()
-    order = [r.s for r in found]
+    cuts = timeline.stretches_for(df, ["k"], 4)
+    found = timeline._cut(df, ["k"], [F.col("ts")], cuts).orderBy("ts").collect()
+    order = [r[timeline.STRETCH] for r in found]
     assert order == sorted(order) and len(set(order)) >= 15
-    assert timeline.stretches_for(df, ["k"], "ts", 60) is None
+    assert timeline.stretches_for(df, ["k"], 60) is None
+
+
+def test_a_burst_is_cut_as_fine_as_even_rows(spark):
+    """98 % of a key's rows in one minute, half of these at one moment: no stretch gets them all."""
+    moment = """timestamp_ntz'2025-01-01 00:00:00' + case when id % 50 = 0 then make_dt_interval(id)
+        when id % 2 = 0 then make_dt_interval(5000) else make_dt_interval(5000, 0, 0, id % 60) end"""
+    log = spark.range(20_000).select(F.lit("a").alias("k"), F.expr(moment).alias("ts"), "id")
+    order = [F.col("ts"), F.col("id")]
+    cuts = timeline.stretches_for(log, ["k"], 1000)
+    sizes = timeline._cut(log, ["k"], order, cuts).groupBy(timeline.STRETCH).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 2000
+    both = [
+        timeline.with_next(log, ["k"], "ts", ["id"], "n", [F.col("id")], limit) for limit in (1000, 10**6)
+    ]
+    assert both[0].exceptAll(both[1]).isEmpty() and both[0].count() == 20_000
 
 
 dumps = st.lists(

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK = "_rank"
-MAX_RUNS = 100_000
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -33,16 +32,17 @@ def without_keys(df: DataFrame, unwanted: DataFrame, keys: Sequence[str]) -> Dat
 
 
 def run_labels(df: DataFrame, moment: str, label: str = "run_label") -> DataFrame:
-    """Names each distinct moment R1, R2, ... in order.
+    """Names each distinct moment R1, R2, ... in order; rows without a moment name none.
 
-    There is one moment per run, so the one window below only ever holds that short list: the
-    rows themselves are reduced to distinct moments, map-side, first. A column that turns out
-    not to name runs is refused rather than ranked in one task.
+    Moments are ranked within their day, by as many tasks as there are days, and the days' counts
+    are added up along the calendar. That one running sum sees a row per day that occurs.
     """
-    moments = df.select(moment).where(F.col(moment).isNotNull()).distinct()
-    if moments.limit(MAX_RUNS + 1).count() > MAX_RUNS:
-        raise ValueError(f"{moment!r} holds more than {MAX_RUNS} distinct moments")
-    ranked = moments.withColumn("_one", F.lit(1)).withColumn(
-        "_n", F.dense_rank().over(Window.partitionBy("_one").orderBy(moment))
+    moments = (
+        df.select(moment).where(F.col(moment).isNotNull()).distinct().withColumn("_day", F.to_date(moment))
     )
-    return ranked.select(moment, F.concat(F.lit("R"), F.col("_n").cast("string")).alias(label))
+    days = moments.groupBy("_day").agg(F.count("*").alias("_here")).withColumn("_one", F.lit(1))
+    earlier = Window.partitionBy("_one").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = days.select("_day", F.coalesce(F.sum("_here").over(earlier), F.lit(0)).alias("_before"))
+    ranked = moments.withColumn("_n", F.row_number().over(Window.partitionBy("_day").orderBy(moment)))
+    number = (F.col("_before") + F.col("_n")).cast("string")
+    return ranked.join(offsets, "_day").select(moment, F.concat(F.lit("R"), number).alias(label))

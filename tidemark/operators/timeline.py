@@ -1,11 +1,12 @@
 """Neighbour, running and as-of columns along a key's timeline, safe for very long timelines.
 
 A window partitioned by key sorts one key's rows in one task. That is the plan used while no
-key is longer than ``hot_rows`` (a count per key on a sample decides). Otherwise every timeline
-is cut into stretches of equal time, each stretch is its own window partition, and what a
-stretch needs from its neighbours is carried over as one extra edge row. The edge values come
-from one row per (key, stretch), so no task ever holds a whole long timeline. Both plans give
-the same rows.
+key is longer than ``hot_rows`` (a count per key on a sample decides). Otherwise all rows are
+range partitioned by key, moment and ties, so that each partition, a stretch, holds about as many
+rows as any other, whether a key's rows lie in one minute or in ten years. Every (key, stretch) is
+its own window partition, and what a stretch needs from its neighbours is carried over as one
+extra edge row. The edge values come from one row per (key, stretch), so no task ever holds a
+whole long timeline. Both plans give the same rows.
 """
 
 from __future__ import annotations
@@ -13,69 +14,47 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from functools import reduce
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import fresh_folder
 from .joins import sampled
 
 HOT_ROWS = 20_000_000
-# Stretches are cut finer than the row count asks for, as rows need not be even in time.
-FINENESS = 8
+# Stretches are cut finer than the row count asks for, as range bounds come from a sample.
+FINENESS = 4
+# Rows below which a stretch need not be cut again; production limits are far above it.
+LEAST_ROWS = 50_000
 
 STRETCH, EDGE, CARRY = "_stretch", "_edge", "_carry"
 BEFORE, ROW, AFTER = -1, 0, 1
 
 
-def seconds(moment: Column, type_: T.DataType) -> Column:
-    """Whole seconds on the wall clock (or the number itself); rises with ``moment``.
+def stretches_for(timelines: DataFrame, keys: Sequence[str], hot_rows: int) -> int | None:
+    """None while every key fits one task, else the number of stretches to cut the rows into.
 
-    Built from date and clock parts, so no time zone rule can make it step back.
+    Decided on a sample of the keys: it chooses the plan and how fine the cuts are, never the rows.
     """
-    if isinstance(type_, T.NumericType):
-        return F.floor(moment).cast("long")
-    day = F.datediff(F.to_date(moment), F.lit("1970-01-01").cast("date")).cast("long") * 86400
-    if isinstance(type_, T.DateType):
-        return day
-    return day + F.hour(moment) * 3600 + F.minute(moment) * 60 + F.second(moment)
-
-
-@dataclass(frozen=True)
-class Stretches:
-    """Equal stretches of time: ``floor((seconds - origin) / width)``."""
-
-    origin: int
-    width: int
-
-    def of(self, moment: Column, type_: T.DataType) -> Column:
-        return F.floor((seconds(moment, type_) - self.origin) / self.width).cast("long")
+    sample, share = sampled(timelines.select(*keys), hot_rows)
+    longest, rows = sample.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    if longest is None or longest <= hot_rows * share:
+        return None
+    wanted = FINENESS * math.ceil(rows / share / hot_rows)
+    few = int(timelines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(wanted, max(few, math.ceil(rows / share / LEAST_ROWS)))
 
 
-def stretches_for(
-    timelines: DataFrame, keys: Sequence[str], moment: str, hot_rows: int
-) -> Stretches | None:
-    """None while every key fits one task, else the stretches to cut timelines into.
+def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Column], stretches: int) -> DataFrame:
+    """``df`` with the number of each row's stretch; numbers rise with ``order`` within a key.
 
-    Decided on a sample: it chooses the plan and the cuts, never the rows. Moments outside the
-    sampled range simply fall into stretches before the first or after the last.
+    Range bounds are drawn anew whenever a plan runs, so the numbered rows are written once.
     """
-    clock = seconds(F.col(moment), timelines.schema[moment].dataType)
-    sample, share = sampled(timelines.select(*keys, moment), hot_rows)
-    per_key = sample.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.min(clock).alias("lo"), F.max(clock).alias("hi")
-    )
-    longest, lo, hi = per_key.agg(F.max("n"), F.min("lo"), F.max("hi")).first()
-    if longest is None or longest <= hot_rows * share or lo is None:
-        return None
-    pieces = FINENESS * math.ceil(longest / share / hot_rows)
-    return Stretches(int(lo), max(1, -(-(int(hi) - int(lo) + 1) // pieces)))
-
-
-def _cut(df: DataFrame, moment: str, cuts: Stretches) -> DataFrame:
-    type_ = df.schema[moment].dataType
-    return df.withColumns({STRETCH: cuts.of(F.col(moment), type_), EDGE: F.lit(ROW)})
+    spread = df.repartitionByRange(stretches, *[F.col(k) for k in keys], *order)
+    numbered = spread.withColumns({STRETCH: F.spark_partition_id(), EDGE: F.lit(ROW)})
+    path = fresh_folder(df.sparkSession, "stretches")
+    numbered.write.parquet(path)
+    return df.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 def _with_edges(rows: DataFrame, edges: DataFrame) -> DataFrame:
@@ -112,10 +91,10 @@ def _neighbour(df, keys, moment, take, into, ties, hot_rows, side):
     step = F.lead if side == AFTER else F.lag
     value = F.struct(*take)
     order = [F.col(moment), *ties]
-    cuts = stretches_for(df, keys, moment, hot_rows)
+    cuts = stretches_for(df, keys, hot_rows)
     if cuts is None:
         return df.withColumn(into, step(value).over(Window.partitionBy(*keys).orderBy(*order)))
-    rows = _cut(df, moment, cuts).withColumn(CARRY, value)
+    rows = _cut(df, keys, order, cuts).withColumn(CARRY, value)
     pick = F.min_by if side == AFTER else F.max_by
     ends = rows.groupBy(*keys, STRETCH).agg(pick(CARRY, F.struct(*order)).alias(CARRY))
     along = Window.partitionBy(*keys).orderBy(STRETCH)
@@ -142,11 +121,11 @@ def with_earlier_max(
 ) -> DataFrame:
     """Adds ``into``: the greatest ``value`` among the key's earlier rows, NULL on the first."""
     order = [F.col(moment), *ties]
-    cuts = stretches_for(df, keys, moment, hot_rows)
+    cuts = stretches_for(df, keys, hot_rows)
     if cuts is None:
         earlier = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumn(into, F.max(value).over(_up_to_previous(earlier)))
-    rows = _cut(df, moment, cuts).withColumn(CARRY, value)
+    rows = _cut(df, keys, order, cuts).withColumn(CARRY, value)
     tops = rows.groupBy(*keys, STRETCH).agg(F.max(CARRY).alias(CARRY))
     along = Window.partitionBy(*keys).orderBy(STRETCH)
     edges = tops.withColumns(
@@ -193,11 +172,11 @@ def as_of(
         allowMissingColumns=True,
     )
     order = [F.col(when), F.col(turn), F.col(CARRY)]
-    cuts = stretches_for(timeline.select(*keys, when), keys, when, hot_rows)
+    cuts = stretches_for(timeline, keys, hot_rows)
     if cuts is None:
         within = Window.partitionBy(*keys).orderBy(*order)
     else:
-        timeline = _cut(timeline, when, cuts)
+        timeline = _cut(timeline, keys, order, cuts)
         is_version = F.when(F.col(turn) == 0, F.struct(when, CARRY))
         lasts = timeline.groupBy(*keys, STRETCH).agg(F.max_by(CARRY, is_version).alias(CARRY))
         along = Window.partitionBy(*keys).orderBy(STRETCH)
