@@ -354,12 +354,13 @@ def brute_suffixes(data):
     return sorted(out, key=str)
 
 
-def suffix_rows(df):
-    return rows(suffixes.deduplicated(df).withColumn("sha", F.sha2("kept", 256)), "doc_id", "n_bytes", "n_removed", "n_spans", "sha")
+def suffix_rows(df, **limits):
+    return rows(suffixes.deduplicated(df, **limits).withColumn("sha", F.sha2("kept", 256)), "doc_id", "n_bytes", "n_removed", "n_spans", "sha")
 
 
+@pytest.mark.parametrize("bucket_rows", [suffixes.BUCKET_ROWS, 3, 1])
 @pytest.mark.parametrize("alphabet", ["ab", "abcdefghé "])
-def test_suffixes_equal_brute_force(spark, alphabet):
+def test_suffixes_equal_brute_force(spark, alphabet, bucket_rows):
     rng = random.Random(len(alphabet))
     passages = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(150, 700))) for _ in range(6)]
     passages.append("ab" * 300)
@@ -373,7 +374,7 @@ def test_suffixes_equal_brute_force(spark, alphabet):
             parts.append("".join(rng.choice(alphabet) for _ in range(rng.randrange(200))))
         data.append((doc, "".join(parts)))
     df = spark.createDataFrame(data, "doc_id long, text string")
-    assert suffix_rows(df) == brute_suffixes([(d, t.encode()) for d, t in data])
+    assert suffix_rows(df, bucket_rows=bucket_rows) == brute_suffixes([(d, t.encode()) for d, t in data])
 
 
 def test_suffixes_on_hard_rows(docs):

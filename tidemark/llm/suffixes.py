@@ -15,7 +15,9 @@ pick equal anchors at equal places, and neighbouring windows share one, about on
 
 Stretches are named by two independent 64-bit hashes besides the anchor's. Texts are read in pieces
 of ``PIECE`` bytes that overlap by a window, so no text is too long. A bucket holds the distinct
-surroundings of one 64-byte string, under 340 bytes each; copies were folded before.
+surroundings of one 64-byte string, under 340 bytes each; copies were folded before. An anchor with
+more than ``BUCKET_ROWS`` surroundings gets no bucket: the windows of its stretches, 137 each at
+most, are counted by two independent 64-bit hashes instead, which gathers nothing in one task.
 
 Defined cases: a missing or empty text has no bytes and no spans; texts under 200 bytes stay; a row
 that repeats id and text is elsewhere, so both lose their bytes; rows that share an id are told
@@ -41,6 +43,8 @@ WIDTH = 200
 ANCHOR = 64
 #: Bytes handled at a time; about 100 bytes of memory each.
 PIECE = 1 << 20
+#: Surroundings of one anchor that are sorted in one task, in about 300 MB.
+BUCKET_ROWS = 10_000
 
 
 def sliding(values: np.ndarray, width: int, pick=np.minimum) -> np.ndarray:
@@ -250,7 +254,22 @@ def sorted_buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(settled(), columns=["key", "name", "proof", "first", "last"])
 
 
-def repeated_bytes(docs: DataFrame) -> DataFrame:
+def repeated_windows(stretches: DataFrame) -> DataFrame:
+    """Per stretch the first and last of its windows that occur in another one with its anchor (native)."""
+    windows = stretches.select(
+        "key", "name", "proof", "lead", "bytes", F.explode(F.sequence(F.lit(0), F.length("bytes") - WIDTH)).alias("at")
+    ).withColumn("window", F.expr(f"substring(bytes, at + 1, {WIDTH})"))
+    hashed = windows.select(
+        "key", "name", "proof", "at", (F.col("lead") - F.col("at")).alias("ahead"),
+        F.xxhash64("window").alias("h"), F.xxhash64(F.lit(1), "window").alias("h2"),
+    )
+    window = ["key", "ahead", "h", "h2"]
+    twice = staged(hashed.groupBy(*window).count().where("count > 1").select(*window), "windows")
+    found = hashed.join(twice, window, "left_semi").groupBy("key", "name", "proof")
+    return found.agg(F.min("at").alias("first"), F.max("at").alias("last"))
+
+
+def repeated_bytes(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """(id, spans of (place, stop)): bytes in repeated windows. ``docs`` has id and text."""
     named = docs.where("id is not null")
     counted = named.mapInPandas(anchor_rows, "key long").groupBy("key").count()
@@ -262,15 +281,18 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     classes = staged(
         met.groupBy(*name).agg(F.count("*").alias("n"), F.first(F.length("bytes")).alias("size")), "classes"
     )
-    several = classes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
-    bucketed = (
-        met.join(staged(several, "several"), "key", "left_semi")
-        .groupBy(*name)
-        .agg(F.first("bytes").alias("bytes"), F.first("lead").alias("lead"))
-        .repartition(shuffle_partitions(docs.sparkSession), "key")
-        .sortWithinPartitions("key")
-    )
-    partly = bucketed.mapInPandas(sorted_buckets, BUCKET)
+    several = staged(classes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "several")
+
+    def folded(keys: DataFrame) -> DataFrame:
+        held = met.join(keys.select("key"), "key", "left_semi").groupBy(*name)
+        return held.agg(F.first("bytes").alias("bytes"), F.first("lead").alias("lead"))
+
+    bucketed = folded(several.where(F.col("c") <= bucket_rows))
+    ordered = bucketed.repartition(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key")
+    partly = ordered.mapInPandas(sorted_buckets, BUCKET)
+    crowded = several.where(F.col("c") > bucket_rows)
+    if not crowded.isEmpty():
+        partly = partly.unionByName(repeated_windows(folded(crowded)))
     fully = classes.where("n > 1").select(*name, F.lit(0).alias("first"), (F.col("size") - WIDTH).alias("last"))
     # a class that occurs twice is repeated in full, whatever its bucket adds
     spans = staged(fully.unionByName(partly).groupBy(*name).agg(F.min("first").alias("first"), F.max("last").alias("last")), "spans")
@@ -305,10 +327,12 @@ def without_repeats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out.assign(id=out["id"].astype("Int64"))
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept bytes) of every row."""
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    spans = staged(repeated_bytes(plain), "byte-spans")
+    spans = staged(repeated_bytes(plain, bucket_rows), "byte-spans")
     joined = plain.join(spans, "id", "left").select("id", "text", "spans")
     out = joined.mapInPandas(without_repeats, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.withColumnRenamed("id", id_col)
