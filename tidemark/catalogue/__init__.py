@@ -1,8 +1,8 @@
 """Registered queries over the star tables, each next to its SQL counterpart."""
 
-from . import checks, guards, history, incremental, marts, shaping
+from . import checks, contract_checks, guards, history, incremental, marts, shaping
 
-SECTIONS = (shaping, marts, incremental, history, checks, guards)
+SECTIONS = (shaping, marts, incremental, history, checks, guards, contract_checks)
 
 
 def queries():
