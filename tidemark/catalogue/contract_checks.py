@@ -401,3 +401,205 @@ def suite_merchant_payments(spark, sf_dir):
     bound = suites.merchant_feeds(orders, payments, captured)
     bound += suites.merchant_month_payments(mart, orders, payments, METHODS)
     return checks.run_suites(bound, suites.EXPECTED["merchant_month_payments"])
+
+
+# --- employees ------------------------------------------------------------------------------
+
+_DUMP = "(select *, last_login_at as record_updated_at from yearly_roster where batch_id = 2001)"
+_DEPARTMENTS = """(select cast(r_regionkey as varchar) as department_code, r_name as department_name
+                   from region)"""
+_CURRENT = f"({histories.ORACLES['employees_current']})"
+_HEADCOUNT = f"({histories.ORACLES['department_headcount']})"
+
+
+@query(
+    SuiteSql("employee_dump", _DUMP)
+    .unique("employee_id")
+    .present("employee_id", "full_name", "department_code", "job_title", "salary_band", "record_updated_at")
+    .known("department_code", _DEPARTMENTS)
+    .listed("salary_band", *suites.BANDS),
+    SuiteSql("departments", _DEPARTMENTS)
+    .unique("department_code")
+    .present("department_code", "department_name"),
+    SuiteSql("employees_history", "yearly_history")
+    .present("employee_id", "department_code", "job_title", "salary_band", "valid_from", "is_deleted")
+    .listed("is_deleted", "true", "false")
+    .counted(
+        "exactly_one_open",
+        """select count(*) as n from (select employee_id from yearly_history group by 1
+           having count(*) filter (valid_to is null) <> 1)""",
+    )
+    .counted(
+        "no_overlap_no_empty",
+        """select count(*) as n from yearly_history b
+           where valid_to <= valid_from or exists (select 1 from yearly_history a
+             where a.employee_id = b.employee_id and a.valid_from < b.valid_from
+               and (a.valid_to is null or a.valid_to > b.valid_from))""",
+    )
+    .counted(
+        "open_versions_match_dump",
+        f"""select count(*) as n from
+              (select * from yearly_history where valid_to is null and not is_deleted) h
+            full join {_DUMP} d on d.employee_id = h.employee_id
+            where h.department_code is distinct from d.department_code
+               or h.job_title is distinct from d.job_title
+               or h.salary_band is distinct from d.salary_band""",
+    )
+    .counted(
+        "no_redundant_versions",
+        """select count(*) as n from (
+             select (department_code, job_title, salary_band, is_deleted) as now,
+                    lag((department_code, job_title, salary_band, is_deleted)) over w as before
+             from yearly_history window w as (partition by employee_id order by valid_from))
+           where now = before""",
+    ),
+    SuiteSql("employee_history", f"({histories.ORACLES['employee_history']})").present(
+        "employee_id", "valid_from", "is_deleted", "is_current"
+    ),
+    SuiteSql("employees_current", _CURRENT)
+    .unique("employee_id")
+    .present("employee_id", "full_name", "department_code", "job_title", "salary_band", "current_since")
+    .known("department_code", _DEPARTMENTS)
+    .counted(
+        "reconciles_with_dump",
+        f"""select count(*) as n from {_DUMP} d full join {_CURRENT} c
+            on c.employee_id = cast(d.employee_id as varchar)
+            where d.employee_id is null or c.employee_id is null""",
+    ),
+    SuiteSql("department_headcount", _HEADCOUNT)
+    .unique("department_code")
+    .present("department_code", "department_name", "current_headcount", "terminations_to_date")
+    .counted(
+        "totals_tie_out",
+        _differs(
+            (f"select sum(current_headcount) from {_HEADCOUNT}", "select count(*) from employees_now"),
+            (
+                f"select sum(terminations_to_date) from {_HEADCOUNT}",
+                "select count(*) from yearly_history where is_deleted",
+            ),
+        ),
+    ),
+)
+def suite_employees(spark, sf_dir):
+    """The history of seven yearly dumps and what is read from it."""
+    s = Star(spark, sf_dir)
+    dump = histories.latest_dump(spark, sf_dir).withColumn("record_updated_at", F.col("last_login_at"))
+    dump, departments = histories._text_key(dump), star.departments(s)
+    history = histories._text_key(histories.yearly_history(spark, sf_dir))
+    history = _stored(spark, "employees", history)
+    view = marts.employee_history(history)
+    current = _stored(spark, "employees_current", marts.employees_current(view, dump))
+    headcount = marts.department_headcount(departments, current, view, wide=True)
+    bound = suites.employee_feeds(dump, departments) + suites.employees_history(history, view, dump)
+    bound += suites.employees(current, headcount, dump, departments, view)
+    return checks.run_suites(bound, suites.EXPECTED["employees"])
+
+
+# --- daily revenue --------------------------------------------------------------------------
+
+_CUSTOMER_DUMP = """(select c_custkey as customer_id, c_name as customer_name,
+                            case when c_acctbal > 5000 then 'MACHINERY'
+                                 when c_acctbal < 0 then 'AUTOMOBILE' else c_mktsegment end as plan_code,
+                            c_custkey as updated_at
+                     from customer)"""
+_INVOICES = """(select o_orderkey as invoice_id, o_custkey as customer_id, o_orderdate as invoiced_at
+                from orders)"""
+_LINES = """(select cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) as line_id,
+                    l_orderkey as invoice_id, cast(l_extendedprice as decimal(12,2)) as amount_usd,
+                    case l_returnflag when 'A' then 'USAGE' when 'R' then 'SEATS' else 'OTHER' end
+                        as line_type
+             from lineitem)"""
+_PAID = """(select o_orderkey as payment_id, o_orderkey as invoice_id, o_orderdate as paid_at,
+                   cast(o_totalprice as decimal(12,2)) as amount_usd
+            from orders where o_orderstatus <> 'P')"""
+_REVENUE = f"({sql(incremental.REVENUE_SQL)})"
+
+
+@query(
+    SuiteSql("customer_dump", _CUSTOMER_DUMP)
+    .unique("customer_id")
+    .present("customer_id", "customer_name", "plan_code", "updated_at")
+    .listed("plan_code", *suites.PLAN_CODES),
+    SuiteSql("invoices", _INVOICES)
+    .unique("invoice_id")
+    .present("invoice_id", "customer_id", "invoiced_at")
+    .known("customer_id", _CUSTOMER_DUMP),
+    SuiteSql("invoice_lines", _LINES)
+    .unique("line_id")
+    .present("line_id", "invoice_id", "amount_usd")
+    .known("invoice_id", _INVOICES)
+    .listed("line_type", "SUBSCRIPTION", "USAGE", "SEATS"),
+    SuiteSql("invoice_payments", _PAID)
+    .unique("payment_id")
+    .present("payment_id", "invoice_id", "paid_at", "amount_usd")
+    .known("invoice_id", _INVOICES),
+    SuiteSql("customers_history", "plan_versions")
+    .present("customer_id", "plan_code", "valid_from")
+    .counted(
+        "versions_tile_timelines",
+        """select count(*) as n from (select 1 from plan_versions group by customer_id, valid_from
+           having count(*) > 1)""",
+    ),
+    SuiteSql("invoice_revenue", "invoice_revenue")
+    .unique("invoice_id")
+    .present("invoice_id", "invoice_date", "plan_code", "billed_usd", "collected_usd")
+    .listed("plan_code", *suites.PLAN_CODES)
+    .counted(
+        "reconciles_with_invoices",
+        """select count(*) as n from orders full join invoice_revenue on invoice_id = o_orderkey
+           where o_orderkey is null or invoice_id is null""",
+    )
+    .counted(
+        "plan_is_latest_version_then",
+        """select count(*) as n from (
+             select r.plan_code, arg_max(v.plan_code, v.valid_from) as latest
+             from invoice_revenue r left join plan_versions v
+               on v.customer_id = r.customer_id and v.valid_from <= r.invoiced_at
+             group by r.invoice_id, r.plan_code)
+           where plan_code is distinct from latest""",
+    ),
+    SuiteSql("daily_revenue", _REVENUE)
+    .present("invoice_date", "plan_code", "invoice_count", "billed_usd", "collected_usd", "outstanding_usd")
+    .listed("plan_code", *suites.PLAN_CODES)
+    .grain("invoice_date", "plan_code")
+    .counted(
+        "totals_tie_out_to_staging",
+        _differs(
+            (f"select sum(invoice_count) from {_REVENUE}", f"select count(*) from {_INVOICES}"),
+            (f"select sum(billed_usd) from {_REVENUE}", f"select sum(amount_usd) from {_LINES}"),
+            (f"select sum(collected_usd) from {_REVENUE}", f"select sum(amount_usd) from {_PAID}"),
+        ),
+    ),
+)
+def suite_daily_revenue(spark, sf_dir):
+    """Plan history from all edits; invoices attributed to the plan then."""
+    s = Star(spark, sf_dir)
+
+    def text_keys(df):
+        return df.withColumns({c: F.col(c).cast("string") for c in ("invoice_id", "customer_id") if c in df.columns})
+
+    flag = F.col("l_returnflag")
+    kind = F.when(flag == "A", "USAGE").when(flag == "R", "SEATS").otherwise("OTHER")
+    customers, invoices = text_keys(star.customer_dump(s, 3)), text_keys(star.invoices(s).drop("batch_id"))
+    lines = s.lineitem.select(
+        star.line_id().alias("line_id"),
+        F.col("l_orderkey").alias("invoice_id"),
+        F.col("l_extendedprice").cast(star.MONEY).alias("amount_usd"),
+        kind.alias("line_type"),
+    )
+    payments = s.orders.where(F.col("o_orderstatus") != "P").select(
+        F.col("o_orderkey").alias("payment_id"),
+        F.col("o_orderkey").alias("invoice_id"),
+        star.price().alias("amount_usd"),
+        F.col("o_orderdate").alias("paid_at"),
+    )
+    lines, payments = text_keys(lines), text_keys(payments)
+    history = _stored(spark, "customers_history", text_keys(incremental.plan_history(spark, sf_dir)))
+    revenue = _stored(
+        spark, "invoice_revenue", marts.invoice_revenue(invoices, lines, payments, history, wide=True)
+    )
+    mart = _stored(spark, "daily_revenue", marts.daily_revenue(revenue, wide=True))
+    bound = suites.billing_feeds(customers, invoices, lines, payments)
+    bound += suites.customers_history(history)
+    bound += suites.daily_revenue(revenue, mart, invoices, lines, payments, history)
+    return checks.run_suites(bound, suites.EXPECTED["daily_revenue"])

@@ -253,6 +253,16 @@ def daily_plan_revenue(spark, sf_dir):
     return upsert.replay(LOADS, one_run)
 
 
+def plan_history(spark, sf_dir):
+    """Every customer's plans over time, from the edits that its dumps show."""
+    s = Star(spark, sf_dir)
+    edits = star.customer_dump(s, 1)
+    for load in (2, 3):
+        edits = edits.unionByName(star.customer_dump(s, load))
+    # Dumps repeat unchanged customers: the edits are the distinct (customer, moment) rows.
+    return temporal.scd2_from_log(edits.distinct(), ["customer_id"], "updated_at")
+
+
 @query(
     """
     select cast(invoice_id as varchar) as invoice_id, cast(customer_id as varchar) as customer_id,
@@ -262,12 +272,7 @@ def daily_plan_revenue(spark, sf_dir):
 )
 def invoice_revenue(spark, sf_dir):
     """Every invoice with the plan in effect then, from the history of the source's edits."""
-    s = Star(spark, sf_dir)
-    edits = star.customer_dump(s, 1)
-    for load in (2, 3):
-        edits = edits.unionByName(star.customer_dump(s, load))
-    # Dumps repeat unchanged customers: the edits are the distinct (customer, moment) rows.
-    history = temporal.scd2_from_log(edits.distinct(), ["customer_id"], "updated_at")
+    s, history = Star(spark, sf_dir), plan_history(spark, sf_dir)
     return marts.invoice_revenue(
         star.invoices(s).drop("batch_id"),
         star.invoice_lines(s),
