@@ -230,3 +230,39 @@ def test_replay_equals_rebuild_for_any_load_schedule(spark, rows, tmp_path_facto
         build = lambda since: marts.daily_payouts(seen, adjustments, since)  # noqa: B023, E731
         state = upsert.run_incremental(store, "m", build, "delivery_date", run, 4)
         assert table_diff(state, build(None)).isEmpty()
+
+
+def test_window_reads_skip_files_of_other_dates(spark, tmp_path):
+    """A mart of several files: by their statistics, only the newest can hold the window."""
+    pq = pytest.importorskip("pyarrow.parquet")
+    days = spark.range(4000).selectExpr(
+        "date_add(date'2015-01-01', int(pmod(id * 7919, 1000))) as day", "id as n"
+    )
+    store, name = MartStore(spark, str(tmp_path / "wide")), "m"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        store.write(name, 1, days, grain="day")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = []
+    for file in sorted((tmp_path / "wide" / name / "run=1.0@whole").glob("*.parquet")):
+        groups = pq.ParquetFile(file).metadata
+        stats = [groups.row_group(g).column(0).statistics for g in range(groups.num_row_groups)]
+        if stats:
+            ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
+    ranges.sort()
+    assert len(ranges) > 1
+    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
+    since = store.newest(name, "day") - dt.timedelta(days=4)
+    assert since == dt.date(2015, 1, 1) + dt.timedelta(days=995)
+    assert sum(high >= since for _, high in ranges) == 1
+
+
+def test_newest_date_comes_from_the_newest_piece_with_dates(store, rows):
+    store.write("m", 1, rows(MART, (day(0), "a", 1), (day(5), "a", 1)))
+    store.write("m", 2, rows(MART, (day(6), "a", 1)), since=day(5))
+    assert str(store.newest("m", "day")) == day(6)
+    # the window is withdrawn: what remains ends before it
+    store.write("m", 3, rows(MART), since=day(4))
+    assert str(store.newest("m", "day")) == day(0)
+    assert str(store.newest("m", "day", before_run=2)) == day(5)

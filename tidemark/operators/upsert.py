@@ -123,6 +123,15 @@ def is_incremental(store: MartStore, name: str, run: int, full_refresh: bool) ->
     return not full_refresh and store.exists(name, before_run=run)
 
 
+def window_start(
+    store: MartStore, name: str, grain: str, run: int, lookback_days: int, full_refresh: bool = False
+) -> date | None:
+    """The first grain date that run ``run`` recomputes; None if it builds everything."""
+    if not is_incremental(store, name, run, full_refresh):
+        return None
+    return lower_bound(store.newest(name, grain, before_run=run), lookback_days)
+
+
 def run_incremental(
     store: MartStore,
     name: str,
@@ -145,11 +154,10 @@ def run_incremental(
     reader has to put together small.
     """
     if not is_incremental(store, name, run, full_refresh):
-        store.write(name, run, build(None))
+        store.write(name, run, build(None), grain=grain)
         return store.read(name, grain, before_run=run + 1)
     target = store.read(name, grain, before_run=run)
-    newest = target.agg(F.max(grain)).first()[0]
-    since = lower_bound(newest, lookback_days)
+    since = window_start(store, name, grain, run, lookback_days)
     new = align(build(since), target.schema, on_schema_change)
     windowed = (
         since is not None
@@ -171,7 +179,7 @@ def run_incremental(
         state = append(target, new)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    store.write(name, run, state, since if windowed else None)
+    store.write(name, run, state, since if windowed else None, grain)
     return store.read(name, grain, before_run=run + 1)
 
 

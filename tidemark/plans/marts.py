@@ -425,6 +425,11 @@ PLANS_SNAPSHOT = snapshot.SnapshotSpec(
 )
 
 
+def invoices_since(invoices: DataFrame, since: date) -> DataFrame:
+    """Compared as a moment, so that the bound reaches the scan."""
+    return invoices.where(F.col("invoiced_at") >= F.lit(str(since)).cast("timestamp_ntz"))
+
+
 def invoice_revenue(
     invoices: DataFrame,
     lines: DataFrame,
@@ -439,8 +444,7 @@ def invoice_revenue(
     invoice without lines keeps a missing ``billed_usd`` for the checks to report.
     """
     if since is not None:
-        # Compared as a moment, so that the bound reaches the scan.
-        invoices = invoices.where(F.col("invoiced_at") >= F.lit(str(since)).cast("timestamp_ntz"))
+        invoices = invoices_since(invoices, since)
         lines, payments = joins.within_key_range(invoices, "invoice_id", lines, payments)
     attributed = temporal.point_in_time_join(
         invoices, history, ["customer_id"], "invoiced_at", {"plan_code": "plan_code"}

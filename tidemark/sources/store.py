@@ -99,13 +99,33 @@ class MartStore:
                 upper = piece.since if upper is None else min(upper, piece.since)
         return table
 
-    def write(self, name: str, run: int, df: DataFrame, since: date | None = None) -> None:
+    def newest(self, name: str, grain: str, before_run: int | None = None) -> date | None:
+        """The newest grain date, from the newest piece that has one: older ones end before it."""
+        upper = None
+        for piece in self.pieces(name, before_run):
+            rows = self.spark.read.parquet(piece.path)
+            if upper is not None:
+                rows = rows.where(F.col(grain) < F.lit(upper))
+            found = rows.agg(F.max(grain)).first()[0]
+            if found is not None:
+                return found
+            upper = piece.since if upper is None else min(upper, piece.since or upper)
+        return None
+
+    def write(
+        self, name: str, run: int, df: DataFrame, since: date | None = None, grain: str | None = None
+    ) -> None:
         """Commits run ``run``. The same run again replaces its own earlier attempt; with another
-        window (as in a rebuild at the same batch) it becomes a further attempt, which wins."""
+        window (as in a rebuild at the same batch) it becomes a further attempt, which wins.
+
+        With ``grain`` each file holds a range of dates, in order, so that readers of a window skip
+        the files outside it by their statistics."""
         same = [p for p in self._stored(name) if p.run == run]
         last = max(same, key=lambda p: p.attempt, default=None)
         attempt = 0 if last is None else last.attempt + (last.since != since)
         folder = f"run={run}.{attempt}@{since or WHOLE}"
+        if grain is not None:
+            df = df.repartitionByRange(grain).sortWithinPartitions(grain)
         df.write.mode("overwrite").parquet(f"{self.root}/{name}/{folder}")
 
     def stage(self, name: str, run: int, df: DataFrame) -> DataFrame:
