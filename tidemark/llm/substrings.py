@@ -6,7 +6,7 @@ about five neighbouring windows share one occurrence of it.
 
 1. Keys per document, without the windows; Spark keeps those that two documents share.
 2. The windows of shared keys are named by the polynomial hash of their words; the least id per name
-   decides. A name is a 64-bit hash that only meets windows of a shared key.
+   decides. A name is a 64-bit hash, and meets only windows whose keys agree in 16 further bits.
 3. Places of repeated windows go back to their documents, which drop the words they cover.
 
 Texts are parsed twice rather than kept, as what they would leave on disk is larger than they are.
@@ -117,13 +117,17 @@ def repeated_windows(docs: DataFrame, hot: int = HOT) -> DataFrame:
     few = shared.count() <= BROADCAST_KEYS
     rows = named.mapInPandas(window_rows, "key long, id long, place long, names array<long>")
     rows = rows.join(F.broadcast(shared) if few else shared, "key")
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(-1)
-    windows = rows.select("id", "place", salt.alias("salt"), F.posexplode("names").alias("k", "name")).select(
-        "name", "salt", "id", (F.col("place") + F.col("k")).alias("place")
+    # 16 bits of the key beside the name, and the salt below them: 0 for keys that are not hot
+    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(SALTS)) + 1).otherwise(0)
+    part = (F.col("key").bitwiseAND(F.lit(0xFFFF)) * (2 * SALTS) + salt).cast("int")
+    windows = rows.select("id", "place", part.alias("part"), F.posexplode("names").alias("k", "name")).select(
+        "name", "part", "id", (F.col("place") + F.col("k")).alias("place")
     )
     # one exchange: with a salt, the first document of each salt goes on to the second grouping
-    firsts = windows.withColumn("least", F.min("id").over(Window.partitionBy("name", "salt")))
-    met = firsts.where("salt >= 0 and id = least").withColumn("least", F.min("id").over(Window.partitionBy("name")))
+    firsts = windows.withColumn("least", F.min("id").over(Window.partitionBy("name", "part")))
+    salted = firsts.where((F.col("part") % (2 * SALTS) > 0) & (F.col("id") == F.col("least")))
+    bits = F.floor(F.col("part") / (2 * SALTS))
+    met = salted.withColumn("least", F.min("id").over(Window.partitionBy("name", bits)))
     repeated = firsts.where("id > least").select("id", "place")
     if shared.where("hot").limit(1).count():
         repeated = repeated.unionByName(met.where("id > least").select("id", "place"))
