@@ -89,16 +89,20 @@ def window_keys(tokens: np.ndarray, width: int) -> np.ndarray:
         symbols = named_pairs(symbols, turn)
         levels.append(symbols)
     best = np.zeros(n_windows, np.uint64)
-    windows = np.arange(n_windows)
     for level in levels:
         rank = (np.minimum(level.size, LONG).astype(np.uint64) << np.uint64(58)) | (level.name >> np.uint64(6))
         # extents grow with the place, so a window sees consecutive symbols
-        first = np.searchsorted(level.low, windows)
-        stop = np.searchsorted(level.high, windows + width, "right")
+        first = _reached(level.low + 1, n_windows)
+        stop = _reached(level.high - width, n_windows)
         np.maximum(best, _range_max(rank, first, stop, width), out=best)
     return best
 
 
+def _reached(places: np.ndarray, n: int) -> np.ndarray:
+    """How many of ``places`` are at or before each of 0 .. n - 1."""
+    return np.cumsum(np.bincount(np.clip(places, 0, n), minlength=n + 1)[:n])
+
+
 def _range_max(values: np.ndarray, first: np.ndarray, stop: np.ndarray, most: int) -> np.ndarray:
     """Greatest of values[first:stop] for ranges of up to ``most``; 0 for empty ones."""
     count = stop - first
