@@ -218,6 +218,30 @@ def test_values_keep_format_link_and_come_back(docs):
     assert (3, None) in got and (4, "") in got and len(got) == len({(r[0], r[1]) for r in ROWS})
 
 
+def test_neighbours_do_not_hide_values():
+    card, plain = "4111 1111 1111 1111", "4111111111111111"
+    fresh = pseudonyms.pseudonymised(card)[0]
+    for text in ("{} 12/26", "{} 123", "ref 7 {}", "1234 {} 05 27 99", "0 1 2 {} 2024-02-30", "AB12 {}", "666-12-3456 {}"):
+        new, spans = pseudonyms.pseudonymised(text.format(card))
+        assert fresh in new and "card" in [k for k, _, _ in spans], text
+        assert pseudonyms.restored(new, spans) == text.format(card)
+        assert fresh.replace(" ", "") in pseudonyms.pseudonymised(text.format(plain))[0], text
+    for iban, more in (("BE68 5390 0754 7034", " AND"), ("ES91 2100 0418 4502 0005 1332", " OK"), ("GB82 WEST 1234 5698 7654 32", " 7")):
+        assert pseudonyms.pseudonymised(iban + more)[0] == pseudonyms.pseudonymised(iban)[0] + more
+        assert pseudonyms.pseudonymised(iban)[0] != iban
+    for kept in ("4432 5073 7903 5541", "BE69 5390 0754 7034", "300.100.200.123"):
+        assert pseudonyms.pseudonymised(kept) == (kept, [])
+    new, spans = pseudonyms.pseudonymised("call 020 7946 0958 1234")  # a card's shape, a telephone number's start
+    assert [k for k, _, _ in spans] == ["phone"] and new.endswith(" 1234")
+
+
+def test_secrets_of_either_case_are_linked():
+    secret = "9233a8ec" * 4
+    lower, upper = (pseudonyms.pseudonymised(f'TOKEN = "{s}"')[0] for s in (secret, secret.upper()))
+    assert lower != f'TOKEN = "{secret}"' and upper == lower.upper()
+    assert pseudonyms.pseudonymised(upper, back=True)[0] == f'TOKEN = "{secret.upper()}"'
+
+
 # ---- token files
 
 

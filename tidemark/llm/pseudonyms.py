@@ -6,9 +6,18 @@ shape it had. The permutation depends on kind and key only: equal values get equ
 documents, whatever their punctuation, different values different ones, and the holder of the key
 can undo them. Pseudonyms are valid again: card and IBAN digits check, dates exist.
 
+Cards and IBANs are also looked for in parts of what has their shape, from the start of any digit group
+to the end of any: an expiry date, a security code or a word beside a value does not hide it. Of
+several parts that check, usual layouts (one group, 4-4-4-4, 4-6-5, 4-6-4; the country's length) go
+first, then the earlier and the longer one. Where nothing checks, the other kinds are tried at the place
+and the search goes on just behind its start; yet what is laid out like a card or IBAN throughout and
+fails its check is not read as a telephone number, nor four numbers that are no address. A new value
+can check together with its neighbours by chance, so texts are undone by their spans (`restored`).
+
 Kinds: payment cards of 13 to 19 digits, telephone numbers, social security numbers, IBANs, IPv4
 addresses, dates from 1900 to 2099 (year first, day first or month first, as far as the order can
-be told: day first for ``.`` and month first for ``/``, or the other way if only that exists), e-mail names and long hexadecimal secrets (same alphabet and length).
+be told: day first for ``.`` and month first for ``/``, or the other way if only that exists), e-mail names and long hexadecimal secrets
+of one case (same alphabet, case and length).
 
 Defined cases: a missing text stays missing and has no values; an empty one likewise; every row is
 treated by itself, so repeated rows and ids and further columns pass. Nothing is shuffled.
@@ -16,10 +25,11 @@ treated by itself, so repeated rows and ids and further columns pass. Nothing is
 
 from __future__ import annotations
 
+import bisect
 import datetime as dt
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import pandas as pd
@@ -182,22 +192,38 @@ def _number(text: str) -> int:
 
 
 def secret(found: str, key: str, back: bool) -> str | None:
-    return f"{feistel(int(found, 16), 16 ** len(found), key, f'hex{len(found)}', back):0{len(found)}x}"
-
-
-#: Shapes in the order in which they are tried at a place; group names are the kinds.
-SHAPES = re.compile(
-    r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)"
-    r"|(?<![A-Za-z0-9])(?:"
-    r"(?P<secret>[0-9a-f]{32,64})"
-    r"|(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?)"
-    r"|(?P<date>[12][0-9]{3}-[01][0-9]-[0-3][0-9]|[0-3]?[0-9]/[0-3]?[0-9]/[12][0-9]{3}|[0-3]?[0-9]\.[01]?[0-9]\.[12][0-9]{3})"
-    r"|(?<!\.)(?P<address>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\.[0-9])"
-    r"|(?P<social>[0-9]{3}-[0-9]{2}-[0-9]{4})"
-    r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18})"
-    r"|(?P<phone>(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}|\+[0-9]{8,14})"
-    r")(?![A-Za-z0-9])"
-)
+    fresh = f"{feistel(int(found, 16), 16 ** len(found), key, f'hex{len(found)}', back):0{len(found)}x}"
+    return fresh.upper() if found != found.lower() else fresh
+
+
+#: Shapes in the order in which they are tried at a place; names are the kinds.
+PATTERNS = {
+    "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "secret": r"[0-9a-f]{32,64}|[0-9A-F]{32,64}",
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?",
+    "date": r"[12][0-9]{3}-[01][0-9]-[0-3][0-9]|[0-3]?[0-9]/[0-3]?[0-9]/[12][0-9]{3}|[0-3]?[0-9]\.[01]?[0-9]\.[12][0-9]{3}",
+    "address": r"(?<!\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
+    "social": r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+    "card": r"[0-9](?:[ -]?[0-9]){12,18}",
+    "phone": r"(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\) ?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4}|\+[0-9]{8,14}",
+}
+_APART = r"(?<![A-Za-z0-9])(?:{})(?![A-Za-z0-9])"
+_EMAIL, *_OTHERS = (f"(?P<{kind}>{shape})" for kind, shape in PATTERNS.items())
+SHAPES = re.compile(_EMAIL + "|" + _APART.format("|".join(_OTHERS)))
+SINGLE = {kind: re.compile(_APART.format(shape)) for kind, shape in PATTERNS.items() if kind != "email"}
+_RUN = re.compile(r"[0-9]+(?:[ -][0-9]+)*(?![A-Za-z0-9])")
+CARD_LAYOUTS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4)}
+#: Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    length: frozenset(countries.split())
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+        21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+        24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC SM",
+        28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC",
+        32: "LC", 33: "RU",
+    }.items()
+}
 KINDS: dict[str, Callable[[str, str, bool], str | None]] = {
     "email": email, "secret": secret, "iban": iban, "date": date, "address": address,
     "social": social, "card": card, "phone": phone,
@@ -210,21 +236,111 @@ def pseudonym(kind: str, found: str, key: str, back: bool = False) -> str | None
     return KINDS[kind](found, key, back)
 
 
-def pseudonymised(text: str, key: str = KEY, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
-    """The text with its values replaced, and (kind, start, end) of each in the new text."""
-    out, spans, at, size = [], [], 0, 0
-    for match in SHAPES.finditer(text):
-        fresh = pseudonym(match.lastgroup, match[0], key, back)
-        if fresh is None:
+def _cards(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """Parts of the digit groups ``start`` to ``end`` that check, none over another, in order."""
+    groups = [m.span() for m in re.compile("[0-9]+").finditer(text, start, end)]
+    found = []
+    for first in range(len(groups)):
+        digits, sizes = "", []
+        for a, b in groups[first:]:
+            digits += text[a:b]
+            sizes.append(b - a)
+            if len(digits) > 19:
+                break
+            if len(digits) >= 13 and luhn_sum(digits) % 10 == 0:
+                usual = len(sizes) == 1 or tuple(sizes) in CARD_LAYOUTS
+                found.append((not usual, groups[first][0], -b))
+    taken: list[tuple[int, int]] = []
+    for _, a, b in sorted(found):
+        place = bisect.bisect(taken, (a, -b))
+        if (not place or taken[place - 1][1] <= a) and (place == len(taken) or -b <= taken[place][0]):
+            taken.insert(place, (a, -b))
+    return taken
+
+
+def _iban_end(text: str, start: int, end: int) -> int | None:
+    """Where the IBAN from ``start`` ends: at ``end`` or at a space before it."""
+    ends = []
+    for stop in [end, *(m.start() for m in re.compile(" ").finditer(text, start, end))]:
+        plain = text[start:stop].replace(" ", "")
+        if 15 <= len(plain) <= 34 and _iban_rest(plain) == 1:
+            ends.append((plain[:2] not in IBAN_LENGTHS.get(len(plain), ()), -stop))
+    return -min(ends)[1] if ends else None
+
+
+def _values(text: str, key: str, back: bool) -> Iterator[tuple[str, int, int, str]]:
+    """(kind, start, end, stand-in) of the values of a text, in order."""
+    cards: list[tuple[int, int]] = []  # of the digit groups up to ``run``, last first
+    at = run = no_phone = 0
+    while True:
+        match = SHAPES.search(text, at, cards[-1][0]) if cards else SHAPES.search(text, at)
+        if match is None:
+            if not cards:
+                return
+            a, at = cards.pop()
+            yield "card", a, at, pseudonym("card", text[a:at], key, back)
             continue
-        out += [text[at : match.start()], fresh]
-        size += match.start() - at
-        spans.append((match.lastgroup, size, size + len(fresh)))
+        start, kind = match.span()[0], match.lastgroup
+        for other in list(PATTERNS)[list(PATTERNS).index(kind) :]:
+            if other != kind:
+                limit = cards[-1][0] if cards else len(text)
+                match = SINGLE[other].match(text, start, limit)
+                if match is None:
+                    continue
+            end, fresh = match.end(), None
+            if other == "card":
+                if start < run:
+                    continue
+                whole = _RUN.match(text, start)
+                run = whole.end()
+                cards = _cards(text, start, run)[::-1]
+                if cards:
+                    break
+                sizes = [len(g) for g in re.split("[ -]", whole[0])]
+                if set(sizes[:-1]) == {4} and sizes[-1] <= 4:
+                    no_phone = max(no_phone, run)
+                continue
+            if other == "iban":
+                stop = _iban_end(text, start, end)
+                if stop is None:
+                    no_phone = max(no_phone, end)
+                    continue
+                end = stop
+            if other == "phone" and start < no_phone:
+                continue
+            fresh = pseudonym(other, text[start:end], key, back)
+            if fresh is not None:
+                yield other, start, end, fresh
+                at = end
+                break
+            if other == "address":
+                at = end
+                break
+        else:
+            at = start + 1
+
+
+def _replaced(text: str, values: Iterable[tuple[str, int, int, str]]) -> tuple[str, list[tuple[str, int, int]]]:
+    out, spans, at, size = [], [], 0, 0
+    for kind, start, end, fresh in values:
+        out += [text[at:start], fresh]
+        size += start - at
+        spans.append((kind, size, size + len(fresh)))
         size += len(fresh)
-        at = match.end()
+        at = end
     return "".join([*out, text[at:]]), spans
 
 
+def pseudonymised(text: str, key: str = KEY, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
+    """The text with its values replaced, and (kind, start, end) of each in the new text."""
+    return _replaced(text, _values(text, key, back))
+
+
+def restored(text: str, spans: Iterable[tuple[str, int, int]], key: str = KEY) -> str:
+    """The text that `pseudonymised` made ``text`` and ``spans`` from."""
+    return _replaced(text, ((k, a, b, pseudonym(k, text[a:b], key, True)) for k, a, b in spans))[0]
+
+
 def with_pseudonyms(docs: DataFrame, text_col: str = "text", key: str = KEY, back: bool = False) -> DataFrame:
     """``docs`` with the text replaced and ``spans`` of (kind, start, end) added."""
 
