@@ -141,6 +141,22 @@ def test_one_document_per_group_stays(docs):
     assert kept.count(1) == 1 and 2 not in kept and kept.count(None) == 2
 
 
+def test_repeated_ids_are_decided_by_text(spark):
+    base = [f"q{i}z" for i in range(300)]
+    variants = (" ".join([*base[:k], "other", *base[k + 1 :]]) for k in range(300))
+    b = " ".join(base)
+    near = next(v for v in variants if 0 < (simhash.fingerprint(v) ^ simhash.fingerprint(b)).bit_count() <= 2)
+    a, c, d = ("alpha " + LONG[::-1], "gamma " + LONG, "delta " + b[::-1])
+    data = [(5, a), (5, b), (3, near), (6, c), (6, d), (6, d.upper()), (6, d), (None, b)]
+    want = sorted([(5, a), (3, near), (6, c), (None, b)], key=str)
+    kept = []
+    for order in (data, data[::-1]):
+        got = rows(simhash.deduplicated(spark.createDataFrame(order, "doc_id long, text string").repartition(3)), "doc_id", "text")
+        kept += [r for r in got if r[1].lower() == d.lower()]
+        assert [r for r in got if r[1].lower() != d.lower()] == want
+    assert len(kept) == 2 and kept[0] == kept[1] and kept[0][0] == 6
+
+
 def test_components_of_a_chain(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (5, 5), (None, 3)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -98,37 +98,64 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return points.join(named.select("point", "b"), "point").select(F.col("fp").alias("a"), "b").distinct()
 
 
-def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS
-) -> DataFrame:
-    """(id, fingerprint as long, component_id), one row per row of ``docs``."""
+def _found(docs: DataFrame, id_col: str, text_col: str, width: int, radius: int) -> DataFrame:
+    """(id, fp, component_id, chosen_fp), one row per row of ``docs``.
+
+    A component is led by its least id, with the least fingerprint that this id has in it. Ids may
+    lead several components, so (component_id, chosen_fp) tells them apart.
+    """
     prints = staged(
         docs.select(F.col(id_col).alias("id"), fingerprints(width)(F.col(text_col)).alias("fp")), "prints"
     )
     nodes = staged(prints.groupBy("fp").agg(F.min("id").alias("least_id")), "nodes")
     rooted = components(links(nodes.select("fp"), radius))
-    linked = rooted.join(nodes, F.col("node") == F.col("fp"))
-    least = linked.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(least, "root").select("node", "component_id")
+    linked = rooted.join(nodes, F.col("node") == F.col("fp")).where("least_id is not null")
+    least = linked.groupBy("root").agg(F.min(F.struct("least_id", "fp")).alias("lead"))
+    named = rooted.join(least, "root", "left").select("node", "lead")
+    lead = F.when(F.col("node").isNull(), F.struct("least_id", "fp")).otherwise(F.col("lead"))
     classes = staged(
         nodes.join(named, F.col("fp") == F.col("node"), "left").select(
-            "fp", F.when(F.col("node").isNull(), F.col("least_id")).otherwise(F.col("component_id")).alias("component_id")
+            "fp", lead["least_id"].alias("component_id"), lead["fp"].alias("chosen_fp")
         ),
         "classes",
     )
-    return prints.join(classes, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+    return prints.join(classes, "fp").select("id", "fp", "component_id", "chosen_fp")
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS
+) -> DataFrame:
+    """(id, fingerprint as long, component_id), one row per row of ``docs``."""
+    found = _found(docs, id_col, text_col, width, radius)
+    return found.select(F.col("id").alias(id_col), "fp", "component_id")
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` per component: the one with the least id. Rows without id stay."""
-    found = near_duplicates(docs, id_col, text_col)
-    gone = found.where(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    kept = docs.join(staged(gone, "gone"), id_col, "left_anti")
-    repeated = staged(kept.groupBy(id_col).count().where(f"count > 1 and {id_col} is not null").select(id_col), "repeated")
-    if not repeated.limit(1).count():
-        return kept.select(*docs.columns)
-    again = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col])
-    return kept.join(repeated, id_col, "left_anti").unionByName(again).select(*docs.columns)
+    """One row of ``docs`` per component: one with the least id. Rows without id stay.
+
+    Decided by id and fingerprint, as an id may stand for unlike texts. Of several rows with the
+    chosen id and fingerprint the one whose text has the least hash stays.
+    """
+    counted = staged(
+        _found(docs, id_col, text_col, WIDTH, RADIUS)
+        .where("id is not null")
+        .groupBy("id", "fp", (F.expr("id = component_id and fp = chosen_fp")).alias("chosen"))
+        .count(),
+        "decided",
+    )
+    gone = counted.where("not chosen").select("id", "fp")
+    repeated = counted.where("chosen and count > 1").select("id", "fp")
+    again = repeated.limit(1).count()
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), fingerprints(WIDTH)(F.col(text_col)).alias("fp")
+    )
+    kept = rows.join(gone, ["id", "fp"], "left_anti")
+    if again:
+        order = [F.xxhash64(f"row.{text_col}"), F.sha2(F.col("row").cast("string"), 256)]
+        first = F.row_number().over(Window.partitionBy("id", "fp").orderBy(*order))
+        single = kept.join(repeated, ["id", "fp"], "left_semi").withColumn("n", first).where("n = 1")
+        kept = kept.join(repeated, ["id", "fp"], "left_anti").unionByName(single.drop("n"))
+    return kept.select("row.*")
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
