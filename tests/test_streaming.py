@@ -49,3 +49,19 @@ def test_a_repeated_micro_batch_overwrites_its_first_attempt(spark, rows, tmp_pa
     again = bag(nightly.stream_mart(spark, landing, schema, str(root), "m", build, "day", 4))
     assert once == again == sorted(again)
     assert dt.date.fromisoformat(again[0][0]) == dt.date(2025, 1, 1)
+
+
+def test_a_load_in_two_micro_batches_is_kept_whole(spark, rows, tmp_path):
+    """Its second half also holds days before the window that its first half opened."""
+    landing, root = str(tmp_path / "landing"), str(tmp_path / "root")
+    parts = [
+        (1, [("2025-01-01", "a")]),
+        (2, [("2025-01-02", "a"), ("2025-01-20", "b")]),
+        (2, [("2025-01-02", "b"), ("2025-01-03", "a"), ("2025-01-20", "b")]),
+    ]
+    everything = []
+    for load, part in parts:
+        rows(SCHEMA, *part).write.mode("append").parquet(f"{landing}/load={load}")
+        everything += part
+        state = nightly.stream_mart(spark, landing, rows(SCHEMA, *part).schema, root, "m", build, "day", 4)
+        assert table_diff(state, build(rows(SCHEMA, *everything), None)).isEmpty()

@@ -2,8 +2,11 @@
 
 ``trigger(availableNow=True)`` works through whatever has been delivered since the last run and
 stops. Spark's checkpoint remembers which files were seen; a micro-batch that is repeated after a
-failure overwrites what its first attempt wrote. The raw log is kept by load, so a load that is
-delivered again replaces its rows instead of adding to them.
+failure overwrites what its first attempt wrote. The raw log is kept by load, and a micro-batch
+writes each load it meets from all files that the load's folder holds by then: a load that is delivered
+again replaces its rows instead of adding to them, and one that arrives in several micro-batches ends
+whole. Landing folders therefore stay complete. Rows of a load that the log has met before, or that
+comes after a newer one, may be older than the mart's window; such a run rebuilds the mart.
 """
 
 from __future__ import annotations
@@ -42,17 +45,26 @@ def stream_mart(
 ) -> DataFrame:
     """Brings the mart up to date with everything delivered, and returns it.
 
-    Each micro-batch is added to the raw log and then runs the mart's incremental step on the
+    The loads of each micro-batch are put into the raw log and the mart's incremental step runs on the
     whole log, exactly as a scheduled nightly run would.
     """
     store, log = MartStore(spark, f"{root}/marts"), f"{root}/log"
+    logged = T.StructType([*schema, T.StructField("load", T.IntegerType())])
 
     def one_batch(rows: DataFrame, number: int) -> None:
-        by_load = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        loads = sorted(r["load"] for r in rows.select("load").distinct().collect())
+        whole, newest = rows, None
+        if loads:
+            folders = [f"{landing}/load={load}" for load in loads]
+            whole = spark.read.schema(logged).option("basePath", landing).parquet(*folders)
+            if store.exists(name):
+                newest = spark.read.schema(logged).parquet(log).agg(F.max("load")).first()[0]
+        by_load = whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         by_load.partitionBy("load").parquet(log)
         seen = spark.read.schema(schema).parquet(log).select(*schema.names)
         run_incremental(store, name, lambda since: build(seen, since), grain, number + 1,
-                        lookback_days=lookback_days)
+                        lookback_days=lookback_days,
+                        full_refresh=newest is not None and loads[0] <= newest)
 
     stream = (
         read_landing(spark, landing, schema)
