@@ -1,8 +1,25 @@
 """The registered queries of the package and their SQL."""
 
-from . import decontaminate, mixing, packed, pseudonyms, quality, simhash, substrings, suffixes, token_counts, urls
+from . import (
+    byte_bpe,
+    decontaminate,
+    mixing,
+    packed,
+    prefix_trie,
+    pseudonyms,
+    quality,
+    runs,
+    simhash,
+    substrings,
+    suffixes,
+    token_counts,
+    urls,
+)
 
-SECTIONS = (decontaminate, simhash, token_counts, urls, quality, substrings, suffixes, pseudonyms, packed, mixing)
+SECTIONS = (
+    decontaminate, simhash, token_counts, urls, quality, substrings, pseudonyms, packed, suffixes, mixing,
+    byte_bpe, runs, prefix_trie,
+)
 
 
 def queries():
