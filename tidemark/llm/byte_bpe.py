@@ -16,18 +16,18 @@ any length are split in parts of about ``PART`` characters, cut where no piece c
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from ..session import fresh_folder
 from . import transducer
@@ -38,7 +38,7 @@ WORDS = 1 << 17
 #: Characters encoded at a time.
 PART = 1 << 20
 #: Pieces a task counts at a time, and merged pieces a worker remembers before it starts anew.
-HELD = 1_000_000
+HELD = 200_000
 
 _BITS = 32
 _ID = (1 << _BITS) - 1
@@ -103,10 +103,17 @@ class ByteBpe:
         # longer names first, as the leftmost longest one counts
         names = sorted(self.added, key=len, reverse=True)
         self.specials = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
-        self.own = Tokenizer.from_file(path).pre_tokenizer
+        self.path = path
         self.rule = regex.compile(SPLIT)
         self.merged: dict[bytes, list[int]] = {}
 
+    @cached_property
+    def own(self):
+        """The library's splitter, loaded by the first text that needs it."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path).pre_tokenizer
+
     def pieces(self, text: str) -> list[str]:
         """The pieces of a text without added tokens."""
         if _PLAIN.fullmatch(text):
@@ -293,9 +300,18 @@ class Encoder:
 
 
 def encode(
-    docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None
+    docs: DataFrame,
+    path: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    vocabulary: str | None = None,
+    then: Callable[[ByteBpe, pa.RecordBatch], pa.RecordBatch] | None = None,
+    schema: str = "id long, ids array<int>",
 ) -> DataFrame:
-    """(id, ids array<int>) of every row, encoded through the lexicon at ``path``."""
+    """(id, ids array<int>) of every row, encoded through the lexicon at ``path``.
+
+    ``then`` may turn the batches of ids, while they are at hand, into rows of another ``schema``.
+    """
     vocabulary = vocabulary or public_byte_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,13 +322,20 @@ def encode(
                 sizes, ids = encoder.ids(part.column(1).to_pylist())
                 offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids.astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "ids"])
+                found = pa.RecordBatch.from_arrays([part.column(0), lists], ["id", "ids"])
+                yield then(encoder.bpe, found) if then else found
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    return plain.mapInArrow(run, "id long, ids array<int>").withColumnRenamed("id", id_col)
+    return plain.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+
+
+def _lists(ids: pa.Array) -> Iterator[list[int]]:
+    flat, ends = ids.values.to_numpy(zero_copy_only=False), ids.offsets.to_numpy()
+    for a, b in zip(ends[:-1], ends[1:], strict=True):
+        yield flat[a:b].tolist()
 
 
-def _slices(texts: pa.Array, limit: int = 16 * PART) -> Iterator[tuple[int, int]]:
+def _slices(texts: pa.Array, limit: int = 4 * PART) -> Iterator[tuple[int, int]]:
     """Rows of a batch, as runs of about ``limit`` bytes of text; a longer text is one run."""
     begin, held = 0, 0
     for k, text in enumerate(texts):
@@ -331,22 +354,35 @@ def decode(encoded: DataFrame, ids_col: str = "ids", vocabulary: str | None = No
     @F.arrow_udf("string")
     def text_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         bpe = byte_bpe(vocabulary)
-        for lists in batches:
-            flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            yield pa.array([bpe.decode(flat[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.string())
+        for ids in batches:
+            yield pa.array([bpe.decode(row) for row in _lists(ids)], pa.string())
 
     return encoded.withColumn("decoded", text_of(F.col(ids_col)))
 
 
+DIGESTS = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+
+
+def digests(bpe: ByteBpe, batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The query's figures of each row: of its ids, and of the text that they decode to."""
+    rows = [
+        (
+            len(ids),
+            hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(),
+            hashlib.sha256(bpe.decode(ids).encode()).hexdigest(),
+        )
+        for ids in _lists(batch.column(1))
+    ]
+    n, encoded, decoded = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.RecordBatch.from_arrays(
+        [batch.column(0), pa.array(n, pa.int64()), pa.array(encoded, pa.string()), pa.array(decoded, pa.string())],
+        ["id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    )
+
+
 def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = decode(encode(docs, compile_lexicon(docs)))
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    return encode(docs, compile_lexicon(docs), then=digests, schema=DIGESTS)
 
 
 QUERIES = {"op11_bpe_round_trip": op11_bpe_round_trip}
