@@ -120,6 +120,17 @@ def test_empty_table(empty, spark, sf_dir):
     assert byte_bpe.op11_bpe_round_trip(spark, sf_dir(documents=empty)).collect() == []
 
 
+def test_frequent_words_are_the_most_frequent(spark):
+    counts = spark.createDataFrame([(b"w%d" % k, 1 + 1000 // (k + 1)) for k in range(500)], "word binary, n long")
+    for words in (0, 1, 7, 100, 500, 10_000):
+        got = [r["n"] for r in byte_bpe.frequent(counts, words).collect()]
+        rest = [1 + 1000 // (k + 1) for k in range(500)]
+        for n in got:
+            rest.remove(n)
+        assert len(got) <= words and (not got or not rest or min(got) > max(rest))
+        assert len(got) > words * 0.6 or not words
+
+
 def test_word_counts_cover_all_rows(docs, library):
     got = {bytes(r["word"]).decode(): r["n"] for r in byte_bpe.word_counts(docs, PATH).collect()}
     want = {}

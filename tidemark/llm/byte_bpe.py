@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 
 from ..session import fresh_folder
 from . import transducer
-from .common import table
+from .common import staged, table
 
-#: Pieces in the lexicon; it holds the most frequent ones, ties by their bytes.
+#: Pieces in the lexicon at most; it holds the most frequent ones.
 WORDS = 1 << 17
 #: Characters encoded at a time.
 PART = 1 << 20
@@ -236,15 +236,31 @@ def word_counts(texts: DataFrame, vocabulary: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, words: int) -> DataFrame:
+    """The rows of ``counts`` (word, n) with the greatest n, ``words`` at most.
+
+    Counts are told in steps of a 64th of a doubling, so the bound is found from a few thousand
+    numbers, and no task sees more than its share; words of the step that would overflow stay out.
+    """
+    stepped = counts.withColumn("step", F.floor(64 * F.log2("n")).cast("int"))
+    held, least = 0, None
+    for r in sorted(stepped.groupBy("step").count().collect(), key=lambda r: -r["step"]):
+        held += r["count"]
+        if held > words:
+            break
+        least = r["step"]
+    return stepped.where("false" if least is None else f"step >= {least}").drop("step")
+
+
 def compile_lexicon(texts: DataFrame, vocabulary: str | None = None, words: int = WORDS) -> str:
-    """Path of the lexicon of the ``words`` most frequent pieces of the column ``text``.
+    """Path of the lexicon of the most frequent pieces of the column ``text``.
 
     The listed words, ``words`` of them at most, are merged and compiled on the driver.
     """
     vocabulary = vocabulary or public_byte_vocabulary()
     path = f"{fresh_folder(texts.sparkSession, 'llm-lexicon')}/words.lex"
-    frequent = word_counts(texts, vocabulary).orderBy(F.desc("n"), "word").limit(words).select("word").toArrow()
-    listed, bpe = sorted(frequent.column(0).to_pylist()), byte_bpe(vocabulary)
+    counts = staged(word_counts(texts, vocabulary), "words")
+    listed, bpe = sorted(frequent(counts, words).select("word").toArrow().column(0).to_pylist()), byte_bpe(vocabulary)
     transducer.write(path, ((w, tuple(bpe.merge(w))) for w in listed))
     return path
 
