@@ -16,8 +16,8 @@ can check together with its neighbours by chance, so texts are undone by their s
 
 Kinds: payment cards of 13 to 19 digits, telephone numbers, social security numbers, IBANs, IPv4
 addresses, dates from 1900 to 2099 (year first, day first or month first, as far as the order can
-be told: day first for ``.`` and month first for ``/``, or the other way if only that exists), e-mail names and long hexadecimal secrets
-of one case (same alphabet, case and length).
+be told: day first for ``.`` and month first for ``/``, or the other way if only that exists), e-mail names (letters and digits in their places,
+capitals kept) and hexadecimal secrets of 32 digits and more (same case and length; mixed case stays mixed).
 
 Defined cases: a missing text stays missing and has no values; an empty one likewise; every row is
 treated by itself, so repeated rows and ids and further columns pass. Nothing is shuffled.
@@ -28,6 +28,7 @@ from __future__ import annotations
 import bisect
 import datetime as dt
 import hashlib
+import math
 import re
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
@@ -57,9 +58,7 @@ def feistel(value: int, size: int, key: str, kind: str, back: bool = False) -> i
     """
     if size < 2:
         return value
-    side = int((size - 1) ** 0.5) + 2
-    while (side - 1) ** 2 >= size:
-        side -= 1
+    side = math.isqrt(size - 1) + 1  # the least whose square holds the range
     while True:
         left, right = divmod(value, side)
         for number in reversed(range(ROUNDS)) if back else range(ROUNDS):
@@ -167,39 +166,71 @@ def date(found: str, key: str, back: bool) -> str | None:
     return None
 
 
-_LETTERS = "abcdefghijklmnopqrstuvwxyz0123456789"
+_LETTERS, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "0123456789"
 
 
 def email(found: str, key: str, back: bool) -> str | None:
+    """Letters become letters and digits digits; capitals stay where they are."""
     name, _, host = found.partition("@")
     plain = re.sub("[^a-z0-9]", "", name.lower())
     if not plain:
         return None
-    value = feistel(_number(plain), len(_LETTERS) ** len(plain), key, f"email{len(plain)}", back)
-    fresh = []
-    for _ in plain:
-        value, k = divmod(value, len(_LETTERS))
-        fresh.append(_LETTERS[k])
-    rest = iter(reversed(fresh))
-    return re.sub("[A-Za-z0-9]", lambda _: next(rest), name) + "@" + host
+    alphabets = [_DIGITS if c in _DIGITS else _LETTERS for c in plain]
+    shape = "".join("9" if a is _DIGITS else "a" for a in alphabets)
+    fresh = iter(_spelled(feistel(_number(plain, alphabets), math.prod(map(len, alphabets)), key, f"email{shape}", back), alphabets))
 
+    def put(old: re.Match) -> str:
+        return next(fresh).upper() if old[0].isupper() else next(fresh)
 
-def _number(text: str) -> int:
+    return re.sub("[A-Za-z0-9]", put, name) + "@" + host
+
+
+def _number(text: str, alphabets: list[str]) -> int:
+    """The number of a text among all of its alphabets, the last place counting ones."""
     value = 0
-    for c in text:
-        value = value * len(_LETTERS) + _LETTERS.index(c)
+    for c, alphabet in zip(text, alphabets, strict=True):
+        value = value * len(alphabet) + alphabet.index(c)
     return value
 
 
+def _spelled(value: int, alphabets: list[str]) -> str:
+    out = []
+    for alphabet in reversed(alphabets):
+        value, k = divmod(value, len(alphabet))
+        out.append(alphabet[k])
+    return "".join(reversed(out))
+
+
+#: Digits of a secret that are permuted as one number; longer ones go block by block.
+BLOCK = 64
+_HEX, _MIXED = "0123456789abcdef", "0123456789abcdefABCDEF"
+
+
 def secret(found: str, key: str, back: bool) -> str | None:
-    fresh = f"{feistel(int(found, 16), 16 ** len(found), key, f'hex{len(found)}', back):0{len(found)}x}"
-    return fresh.upper() if found != found.lower() else fresh
+    """Of one case: the same value in both. Of mixed case: a value of mixed case again."""
+    if found == found.lower() or found == found.upper():
+        fresh = _permuted(found.lower(), _HEX, key, "hex", back)
+        return fresh.upper() if found != found.lower() else fresh
+    while True:
+        found = _permuted(found, _MIXED, key, "mixed", back)
+        if found != found.lower() and found != found.upper():
+            return found
+
+
+def _permuted(text: str, alphabet: str, key: str, kind: str, back: bool) -> str:
+    out = []
+    for place in range(0, len(text), BLOCK):
+        part = text[place : place + BLOCK]
+        named = f"{kind}{len(text)}" if len(text) <= BLOCK else f"{kind}{len(text)}.{place}"
+        alphabets = [alphabet] * len(part)
+        out.append(_spelled(feistel(_number(part, alphabets), len(alphabet) ** len(part), key, named, back), alphabets))
+    return "".join(out)
 
 
 #: Shapes in the order in which they are tried at a place; names are the kinds.
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
-    "secret": r"[0-9a-f]{32,64}|[0-9A-F]{32,64}",
+    "secret": r"[0-9A-Fa-f]{32,}",
     "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?",
     "date": r"[12][0-9]{3}-[01][0-9]-[0-3][0-9]|[0-3]?[0-9]/[0-3]?[0-9]/[12][0-9]{3}|[0-3]?[0-9]\.[01]?[0-9]\.[12][0-9]{3}",
     "address": r"(?<!\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
