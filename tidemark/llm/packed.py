@@ -40,12 +40,20 @@ def bits_for(vocabulary: int) -> int:
     return max(1, (vocabulary - 1).bit_length())
 
 
+#: Widths that are whole words of the machine need no bits moved.
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
+    if bits in _WHOLE:
+        return ids.astype(_WHOLE[bits]).tobytes()
     planes = np.unpackbits(ids.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
     return np.packbits(planes[:, :bits].reshape(-1), bitorder="little").tobytes()
 
 
 def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
+    if bits in _WHOLE:
+        return np.frombuffer(data, _WHOLE[bits], count).astype(np.uint32)
     flat = np.unpackbits(np.frombuffer(data, np.uint8), count=bits * count, bitorder="little").reshape(-1, bits)
     planes = np.zeros((count, 32), np.uint8)
     planes[:, :bits] = flat
@@ -160,8 +168,8 @@ def write_packed(
         with written(path) as out:
             writer, stop = Writer(out, bits), np.array([end], np.uint32)
             while first is not None:
-                for doc, text in zip(first["id"], first["text"], strict=True):
-                    writer.add(None if pd.isna(doc) else int(doc), np.concatenate([encoder.ids(text), stop]))
+                for doc, ids in zip(first["id"], encoder.each(first["text"]), strict=True):
+                    writer.add(None if pd.isna(doc) else int(doc), np.concatenate([ids, stop]))
                 first = next(batches, None)
             writer.close()
         yield pd.DataFrame(

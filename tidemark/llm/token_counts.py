@@ -52,8 +52,8 @@ def write_flat(
             return
         with written(path) as out:
             while first is not None:
-                for text in first["text"]:
-                    out.write(encoder.ids(text).astype("<u2").tobytes() + stop)
+                for ids in encoder.each(first["text"]):
+                    out.write(ids.astype("<u2").tobytes() + stop)
                 yield pd.DataFrame(
                     {"part": part, "path": path, "place": np.arange(place, place + len(first)), "id": first["id"].astype("Int64")}
                 )

@@ -1,26 +1,42 @@
-"""Encoding with a public tokenizer file, remembering pieces.
+"""Encoding with a public tokenizer file, remembering words.
 
-For a tokenizer that splits at white space and drops it, the ids of a text are the ids of its pieces
-in turn, so each distinct piece is encoded once per worker. The memory has a bound; when full it
-starts anew, which changes speed only. Where normalising a word is more than lower-casing it, the
-word goes to the tokenizer whole.
+For a tokenizer that splits at white space and drops it, the ids of a text are the ids of its words
+in turn. Texts are taken together; each distinct word of them is looked up or encoded once and its ids are laid
+out by numpy. The memory has a bound; when full it starts anew, which changes speed only. Where
+normalising a word is more than lower-casing it, the word goes to the tokenizer whole.
 """
 
 from __future__ import annotations
 
 import json
 import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 from tokenizers import Tokenizer
 
-#: Words and pieces remembered by a worker, each, at about 200 bytes.
+from .byte_bpe import byte_letters
+from .transducer import ranges
+
+#: Words and pieces remembered by a worker, each, at about 150 bytes.
 REMEMBERED = 600_000
-#: Outside these characters (and for İ) normalising may do more than lower-case; ``<|`` may begin
-#: the name of a special token.
-_NOT_SIMPLE = re.compile("[^\\t-\\r -~\\u00a0-\\u012f\\u0131-\\u024f\\u2010-\\u2027]|<\\|")
+#: Words taken together.
+TOGETHER = 1 << 18
+
+
+def _plain(c: str) -> bool:
+    """Latin letters and signs that normalising leaves as they are, but for their case."""
+    return "\t" <= c <= "\r" or " " <= c <= "~" or "\u00a0" <= c <= "\u024f" or "\u2010" <= c <= "\u2027"
+
+
+#: Outside these characters normalising may do more than lower-case, or lower-casing may leave them
+#: (İ, Ə); ``<|`` may begin the name of a special token.
+SIMPLE = "".join(c for c in map(chr, range(0x2028)) if _plain(c) and len(c.lower()) == 1 and _plain(c.lower()))
+_NOT_SIMPLE = re.compile(f"[^{re.escape(SIMPLE)}]|<\\|")
 #: How a known split pattern acts on lower-cased simple text, in the faster engine.
 _FAST = {
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+": (
@@ -34,59 +50,76 @@ class WordEncoder:
     def __init__(self, path: str, plain_specials: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
+        self.model = self.tokenizer.model
         with open(path) as source:
             pattern = json.load(source)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = (re.compile(_FAST[pattern]) if pattern in _FAST else regex.compile(pattern)).findall
+        self.letters = {b: c for c, b in byte_letters().items()}
         self.seen: dict[str, bytes] = {}
         self.seen_pieces: dict[str, bytes] = {}
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of one whole text as uint32."""
-        if not text:
-            return np.empty(0, np.uint32)
+        return next(self.each([text]))
+
+    def each(self, texts) -> Iterator[np.ndarray]:
+        """Ids of every text in turn, as uint32."""
+        held: list[str] = []
+        sizes: list[int] = []
+        for text in texts:
+            before = len(held)
+            if text:
+                held.extend(self._words(text))
+            sizes.append(len(held) - before)
+            if len(held) >= TOGETHER:
+                yield from self._laid_out(held, sizes)
+                held, sizes = [], []
+        yield from self._laid_out(held, sizes)
+
+    def _words(self, text: str) -> list[str]:
         if not _NOT_SIMPLE.search(text):
-            return np.frombuffer(self._simple(text), "<u4")
-        return np.frombuffer(
-            b"".join(
-                self._whole(word) if _NOT_SIMPLE.search(word) else self._simple(word)
-                for word in _SPACES.split(text)
-            ),
-            "<u4",
-        )
-
-    def _simple(self, text: str) -> bytes:
-        words, seen = text.lower().split(), self.seen
-        found = list(map(seen.get, words))
-        if None not in found:
-            return b"".join(found)
-        fresh = {w for w, ids in zip(words, found, strict=True) if ids is None}
-        if len(seen) + len(fresh) > REMEMBERED:
+            return text.lower().split()
+        words = []
+        for word in _SPACES.split(text):
+            words.extend([word] if _NOT_SIMPLE.search(word) else word.lower().split())
+        return words
+
+    def _laid_out(self, held: list[str], sizes: list[int]) -> Iterator[np.ndarray]:
+        coded = pa.array(held, pa.string()).dictionary_encode()
+        slots, found = coded.indices.to_numpy(), self._encoded(coded.dictionary.to_pylist())
+        lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool, starts, many = np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths, lengths[slots]
+        ids, ends = pool[ranges(starts[slots], many)], np.append(0, np.cumsum(many))
+        place = 0
+        for size in sizes:
+            yield ids[ends[place] : ends[place + size]]
+            place += size
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        seen = self.seen
+        if len(seen) + len(words) > REMEMBERED:
             seen.clear()
-            fresh = set(words)
-        parts = {w: self.pieces(w) for w in fresh}
-        known = self.seen_pieces
-        new = list({p for row in parts.values() for p in row if p not in known})
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({p for row in parts.values() for p in row})
-        for start in range(0, len(new), 1024):
-            batch = new[start : start + 1024]
-            known.update(zip(batch, self._encode(batch), strict=True))
-        for word, row in parts.items():
-            seen[word] = b"".join([known[p] for p in row])
-        return b"".join(map(seen.__getitem__, words))
-
-    def _whole(self, word: str) -> bytes:
-        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        """Encodes pieces in one text, as the call costs more than a piece, and parts the ids by place."""
-        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
-        ends = np.cumsum([len(p) + 1 for p in parts])
-        places = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
-        ids = np.array(found.ids, "<u4")
-        cuts = [0, *np.searchsorted(places, ends).tolist()]
-        return [ids[a:b].tobytes() for a, b in zip(cuts, cuts[1:], strict=False)]
+        if len(self.seen_pieces) + len(words) > REMEMBERED:
+            self.seen_pieces.clear()
+        found = list(map(seen.get, words))
+        for k, ids in enumerate(found):
+            if ids is None:
+                found[k] = seen[words[k]] = self._word(words[k])
+        return found
+
+    def _word(self, word: str) -> bytes:
+        if _NOT_SIMPLE.search(word):
+            return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        pieces = self.pieces(word)
+        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.seen_pieces.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+            ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+            self.seen_pieces[piece] = ids
+        return ids
 
 
 @lru_cache(maxsize=4)
