@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import upsert
 from tidemark.operators.reconcile import table_diff
 from tidemark.plans import marts
-from tidemark.sources.store import MartStore
+from tidemark.sources.store import MartStore, NotRebuildable
 
 DAY = dt.date(2025, 3, 1)
 MART = "day date, city string, n int"
@@ -29,7 +29,7 @@ def counts(feed):
     def build(since):
         rows = feed.where(F.col("status") != "CANCELLED")
         if since is not None:
-            rows = rows.where(F.col("day") >= F.lit(since))
+            rows = rows.where(upsert.within("day", since))
         return rows.groupBy("day", "city").agg(F.count("*").cast("int").alias("n"))
 
     return build
@@ -43,7 +43,7 @@ def test_bound_is_inclusive_and_empty_targets_have_none():
 
 def test_gate_needs_a_stored_target_and_no_full_refresh(store, rows):
     assert not upsert.is_incremental(store, "m", 1, False)
-    store.write("m", 1, rows(MART, (day(0), "a", 1)))
+    store.write("m", 1, rows(MART, (day(0), "a", 1)), "day")
     assert upsert.is_incremental(store, "m", 2, False)
     assert not upsert.is_incremental(store, "m", 2, True)
     assert not upsert.is_incremental(store, "m", 1, False)  # nothing before its own run
@@ -131,14 +131,15 @@ def test_a_rebuild_at_the_same_batch_wins(store, rows, bag):
     assert bag(state) == bag(counts(late)(None))
 
 
-def test_incremental_runs_write_only_their_window(store, rows, tmp_path):
+def test_incremental_runs_write_only_the_periods_of_their_window(spark, rows, tmp_path):
+    store = MartStore(spark, str(tmp_path / "marts"), "day")
     schema = "day date, city string, status string"
     feed = rows(schema, *[(day(d), "a", "OK") for d in range(9)])
     upsert.run_incremental(store, "m", counts(feed), "day", 1)
+    before = store.partitions("m", "day")
     upsert.run_incremental(store, "m", counts(feed), "day", 2, 2)
-    newest = store.pieces("m")[0]
-    assert newest.since == DAY + dt.timedelta(days=6)
-    assert store.spark.read.parquet(newest.path).count() == 3
+    after = store.partitions("m", "day")
+    assert [d for d in before if after[d] != before[d]] == [day(6), day(7), day(8)]
 
 
 @pytest.mark.parametrize("strategy", ["delete_insert", "merge", "append"])
@@ -157,7 +158,6 @@ def test_keyed_runs_also_write_only_their_window(store, rows, bag, strategy):
         "append": lambda: upsert.append(old, new),
     }[strategy]()
     assert bag(state) == bag(want)
-    assert store.pieces("m")[0].since == DAY + dt.timedelta(days=2)
 
 
 def test_keys_without_the_grain_write_the_table_whole(store, rows, bag):
@@ -168,23 +168,95 @@ def test_keys_without_the_grain_write_the_table_whole(store, rows, bag):
     settings = dict(strategy="delete_insert", keys=["city"])
     state = upsert.run_incremental(store, "m", counts(second), "day", 2, **settings)
     assert bag(state) == [(day(5), "a", 1), (day(5), "b", 1)]
-    assert store.pieces("m")[0].since is None
 
 
-def test_pieces_are_put_together_from_time_to_time(store, rows, bag):
+def test_unfinished_runs_do_not_count(store, rows, bag, monkeypatch):
+    """A run that is cut off after its rows were written is not done, and writes them again."""
     schema = "day date, city string, status string"
-    for run in range(1, 6):
-        feed = rows(schema, *[(day(d), "a", "OK") for d in range(run)])
-        upsert.run_incremental(store, "m", counts(feed), "day", run, whole_every=3)
-    assert [p.since is None for p in store.pieces("m")] == [False, True]
-    assert bag(store.read("m", "day")) == [(day(d), "a", 1) for d in range(5)]
+    one = rows(schema, (day(0), "a", "OK"), (day(1), "a", "OK"), (day(1), "b", "OK"))
+    two = rows(schema, (day(0), "a", "OK"), (day(1), "b", "OK"), (day(40), "a", "OK"))
+    upsert.run_incremental(store, "m", counts(one), "day", 1)
+    note = store.ledger.note
+
+    def cut_off(name, state, *rest, **more):
+        if state == "done":
+            raise KeyboardInterrupt
+        note(name, state, *rest, **more)
+
+    monkeypatch.setattr(store.ledger, "note", cut_off)
+    with pytest.raises(KeyboardInterrupt):
+        upsert.run_incremental(store, "m", counts(two), "day", 2)
+    monkeypatch.setattr(store.ledger, "note", note)
+    assert [r.run for r in store.ledger.runs("m")] == [1]
+    # the newest date stored is now day 40, but the run found day 1 when it began
+    state = upsert.run_incremental(store, "m", counts(two), "day", 2)
+    assert bag(state) == bag(counts(two)(None))
+
+
+def test_whole_tables_keep_earlier_runs(store, rows, bag):
+    for run in (1, 2, 3):
+        store.write("m", run, rows(MART, (day(0), "a", run)))
+    assert bag(store.read("m")) == [(day(0), "a", 3)]
+    assert bag(store.read("m", before_run=3)) == [(day(0), "a", 2)]
+
+
+def test_an_older_run_is_refused(store, rows):
+    feed = rows("day date, city string, status string", (day(0), "a", "OK"))
+    for run in (1, 2):
+        upsert.run_incremental(store, "m", counts(feed), "day", run)
+    with pytest.raises(NotRebuildable):
+        upsert.run_incremental(store, "m", counts(feed), "day", 1)
+
+
+@pytest.mark.parametrize("strategy", ["replace_window", "delete_insert", "merge", "append"])
+def test_every_strategy_can_repeat_its_run(store, rows, bag, strategy):
+    schema = "day date, city string, status string"
+    first = rows(schema, *[(day(d), c, "OK") for d in range(4) for c in "ab"], (None, "a", "OK"))
+    upsert.run_incremental(store, "m", counts(first), "day", 1)
+    second = rows(schema, *[(day(d), "a", "OK") for d in (0, 2, 3, 3, 4)], (None, "b", "OK"))
+    settings = dict(strategy=strategy, keys=["day", "city"])
+    once = bag(upsert.run_incremental(store, "m", counts(second), "day", 2, 1, **settings))
+    assert bag(upsert.run_incremental(store, "m", counts(second), "day", 2, 1, **settings)) == once
+    assert [r for r in once if r[0] is None] == [(None, "b", 1)]
 
 
-def test_unfinished_writes_do_not_count(store, rows, bag, tmp_path):
-    store.write("m", 1, rows(MART, (day(0), "a", 1)))
-    store.write("m", 2, rows(MART, (day(0), "a", 2)))
-    (tmp_path / "marts" / "m" / "run=2.0@whole" / "_SUCCESS").unlink()
-    assert bag(store.read("m")) == [(day(0), "a", 1)]
+@pytest.mark.parametrize("period", ["day", "month", "year"])
+def test_undated_and_vanished_rows_equal_a_rebuild(spark, rows, bag, tmp_path, period):
+    """Two loads bring undated rows 1 and 2, then none; a day and a whole period vanish."""
+    store = MartStore(spark, str(tmp_path / "marts"), period)
+    schema = "day date, city string, status string"
+    loads = [
+        [(None, "a", "OK"), (day(0), "a", "OK"), (day(31), "a", "OK"), (day(400), "a", "OK")],
+        [(None, "a", "OK"), (None, "b", "OK"), (day(0), "a", "OK"), (day(31), "a", "OK"), (day(401), "c", "OK")],
+        [(day(0), "a", "OK"), (day(31), "a", "OK")],
+        [(None, "c", "OK"), (day(0), "a", "OK"), (day(31), "b", "OK")],
+    ]
+    for run, data in enumerate(loads, 1):
+        build = counts(rows(schema, *data))
+        state = upsert.run_incremental(store, "m", build, "day", run, 1)
+        assert bag(state) == bag(build(None)), run
+
+
+def test_windowed_reads_open_window_periods_only(spark, tmp_path, capsys):
+    store = MartStore(spark, str(tmp_path / "marts"))
+    days = spark.range(1000).selectExpr("date_add(date'2015-01-01', int(id)) as day", "id as n")
+    store.write("m", 1, days, "day")
+    assert len(store.partitions("m", "day")) == 33
+    assert store.newest("m", "day") == dt.date(2017, 9, 26)
+    window = upsert.Window(dt.date(2017, 9, 3), frozenset({dt.date(2015, 4, 2)}))
+    rows = store.read("m", window=window)
+    assert len(rows.inputFiles()) == 33  # of the listing; the plan prunes them
+    rows.explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters" in plan and "_period" in plan.split("PartitionFilters")[1].split("\n")[0]
+    assert rows.count() == 26 + 30
+
+
+def test_columns_that_older_periods_lack_are_null(store, rows, bag):
+    store.write("m", 1, rows(MART, (day(0), "a", 1), (day(40), "a", 1)), "day")
+    wide = rows(MART + ", more string", (day(40), "a", 2, "x"))
+    state = upsert.run_incremental(store, "m", lambda _: wide, "day", 2, on_schema_change="append_new_columns")
+    assert bag(state) == [(day(0), "a", 1, None), (day(40), "a", 2, "x")]
 
 
 def test_reading_an_unknown_mart_fails(store):
@@ -232,37 +304,37 @@ def test_replay_equals_rebuild_for_any_load_schedule(spark, rows, tmp_path_facto
         assert table_diff(state, build(None)).isEmpty()
 
 
-def test_window_reads_skip_files_of_other_dates(spark, tmp_path):
-    """A mart of several files: by their statistics, only the newest can hold the window."""
-    pq = pytest.importorskip("pyarrow.parquet")
-    days = spark.range(4000).selectExpr(
-        "date_add(date'2015-01-01', int(pmod(id * 7919, 1000))) as day", "id as n"
-    )
-    store, name = MartStore(spark, str(tmp_path / "wide")), "m"
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        store.write(name, 1, days, grain="day")
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    ranges = []
-    for file in sorted((tmp_path / "wide" / name / "run=1.0@whole").glob("*.parquet")):
-        groups = pq.ParquetFile(file).metadata
-        stats = [groups.row_group(g).column(0).statistics for g in range(groups.num_row_groups)]
-        if stats:
-            ranges.append((min(s.min for s in stats), max(s.max for s in stats)))
-    ranges.sort()
-    assert len(ranges) > 1
-    assert all(a[1] < b[0] for a, b in zip(ranges, ranges[1:]))
-    since = store.newest(name, "day") - dt.timedelta(days=4)
-    assert since == dt.date(2015, 1, 1) + dt.timedelta(days=995)
-    assert sum(high >= since for _, high in ranges) == 1
-
-
-def test_newest_date_comes_from_the_newest_piece_with_dates(store, rows):
-    store.write("m", 1, rows(MART, (day(0), "a", 1), (day(5), "a", 1)))
-    store.write("m", 2, rows(MART, (day(6), "a", 1)), since=day(5))
-    assert str(store.newest("m", "day")) == day(6)
+def test_newest_date_is_that_of_the_newest_period_with_rows(store, rows):
+    store.write("m", 1, rows(MART, (day(0), "a", 1), (day(5), "a", 1), (None, "a", 1)), "day")
+    assert str(store.newest("m", "day")) == day(5)
+    store.write("m", 2, rows(MART, (day(40), "a", 1)), "day", upsert.Window(DAY + dt.timedelta(days=35)))
+    assert str(store.newest("m", "day")) == day(40)
     # the window is withdrawn: what remains ends before it
-    store.write("m", 3, rows(MART), since=day(4))
-    assert str(store.newest("m", "day")) == day(0)
-    assert str(store.newest("m", "day", before_run=2)) == day(5)
+    store.write("m", 3, rows(MART), "day", upsert.Window(DAY + dt.timedelta(days=35)))
+    assert str(store.newest("m", "day")) == day(5)
+
+
+header = st.tuples(st.integers(0, 60), st.integers(0, 4), st.sampled_from("ab"))
+child = st.tuples(st.integers(0, 9), st.integers(0, 80), st.integers(1, 9))
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(headers=st.lists(header, min_size=1, max_size=10), children=st.lists(child, max_size=15))
+def test_late_child_rows_reopen_their_dates(spark, rows, tmp_path_factory, headers, children):
+    """Headers up to four days late, children at any time: equal to a rebuild after every load."""
+    every = rows(
+        "delivery_id string, city_code string, delivery_date date, status string, payout_base_usd decimal(10,2), loaded int",
+        *[(str(i), c, day(d), "COMPLETED", "1.50", (d + late) // 20) for i, (d, late, c) in enumerate(headers)],
+    )
+    lines = rows(
+        "delivery_id string, adj_amount_usd decimal(10,2), loaded int",
+        *[(str(i), f"{n}.25", at // 20) for i, at, n in children], ("none", "1.00", 0),
+    )
+    store = MartStore(spark, str(tmp_path_factory.mktemp("marts")))
+    for run in range(5):
+        seen, known = every.where(F.col("loaded") <= run), lines.where(F.col("loaded") <= run)
+        arrived = lines.where(F.col("loaded") == run)
+        build = lambda window: marts.daily_payouts(seen, known, window)  # noqa: B023, E731
+        late = lambda _: upsert.touched_dates(seen, arrived, ["delivery_id"], "delivery_date")  # noqa: B023, E731
+        state = upsert.run_incremental(store, "m", build, "delivery_date", run, 4, reopened=late)
+        assert table_diff(state, build(None)).isEmpty(), run

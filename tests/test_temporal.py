@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -189,3 +190,28 @@ def test_history_from_dumps_equals_run_by_run_snapshots(
     columns = ["k", "dep", "login", "valid_from", "valid_to", "is_deleted"]
     set_based = temporal.scd2_from_dumps(every, ["k"], ["dep"], "b", runs, mode)
     assert bag(history, *columns) == bag(set_based, *columns)
+
+
+@pytest.mark.parametrize("count", [1, 2, 64, 400])
+def test_overlapping_windows_repeat_no_fact_on_either_plan(spark, rows, bag, count):
+    """Versions that overlap, nest, end before they are reached, and start together."""
+    rng = random.Random(count)
+    moments = [dt.datetime(2025, 1, 1) + dt.timedelta(hours=h) for h in range(300)]
+    versions = [("k", rng.choice(moments), rng.choice([None, *moments]), f"v{n}") for n in range(count)]
+    versions += [("k", None, None, "never"), (None, moments[0], None, "keyless"), ("z", moments[5], moments[9], "z")]
+    facts = [(n, rng.choice(["k", "k", "z", "none", None]), rng.choice([None, *moments])) for n in range(120)]
+
+    def expected(key, at):
+        started = [v for v in versions if v[0] == key is not None and at is not None and v[1] is not None and v[1] <= at]
+        if not started:
+            return None
+        last = max(started, key=lambda v: (v[1], v[2] is not None, v[2] or at, v[3]))
+        return last[3] if last[2] is None or at < last[2] else None
+
+    plain = lambda m: None if m is None else str(m)
+    history = rows("k string, valid_from timestamp_ntz, valid_to timestamp_ntz, h string", *[(k, plain(a), plain(b), h) for k, a, b, h in versions])
+    asked = rows("n int, k string, ts timestamp_ntz", *[(n, k, plain(ts)) for n, k, ts in facts])
+    want = sorted((n, expected(k, ts)) for n, k, ts in facts)
+    for few in (0, 10_000):
+        got = temporal.point_in_time_join(asked, history, ["k"], "ts", {"h": "v"}, few_versions=few)
+        assert sorted((r["n"], r["v"]) for r in got.collect()) == want

@@ -247,7 +247,7 @@ def snapshot_refused(spark, sf_dir):
 def daily_shipments_empty_target(spark, sf_dir):
     """The first load brings nothing; the next finds an empty mart and builds everything."""
     s = Star(spark, sf_dir)
-    store = MartStore(spark, fresh_folder(spark, "empty"))
+    store = MartStore(spark, fresh_folder(spark, "empty"), "year")
     log, items = star.shipments(s), star.shipment_items(s)
 
     def one_run(load):
@@ -266,7 +266,7 @@ def daily_shipments_empty_target(spark, sf_dir):
 def _payouts_with_new_column(spark, sf_dir, on_schema_change):
     """Load 2 builds the mart without its totals, load 3 with them."""
     s = Star(spark, sf_dir)
-    store = MartStore(spark, fresh_folder(spark, "changed"))
+    store = MartStore(spark, fresh_folder(spark, "changed"), "year")
     deliveries, adjustments = star.deliveries(s), star.delivery_adjustments(s)
 
     def one_run(load):

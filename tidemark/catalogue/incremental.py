@@ -17,6 +17,8 @@ from .feeds_sql import sql
 
 QUERIES, ORACLES = {}, {}
 LOADS = (1, 2, 3)
+#: A few thousand mart rows: a partition a year.
+PERIOD = "year"
 
 
 def query(oracle: str):
@@ -58,49 +60,54 @@ REVENUE_SQL = """
 
 @query(SHIPMENTS_SQL)
 def daily_warehouse_shipments(spark, sf_dir):
-    """Three nightly loads of a state log; each rebuilds the newest stored day from all states."""
+    """Three nightly loads of a state log and of items that come earlier or later than their shipment;
+    each rebuilds the newest stored day, and the days that items have arrived for."""
     s = Star(spark, sf_dir)
-    store = MartStore(spark, fresh_folder(spark, "shipments"))
+    store = MartStore(spark, fresh_folder(spark, "shipments"), PERIOD)
     log, items = star.shipments(s), star.shipment_items(s)
 
     def one_run(load):
-        seen = feeds.batch_upto(log, "batch_id", load)
+        seen, parts = (feeds.batch_upto(feed, "batch_id", load) for feed in (log, items))
+        arrived = feeds.batch_exact(items, "batch_id", load)
         return upsert.run_incremental(
             store,
             "daily_shipments",
-            lambda since: marts.daily_shipments(seen, items, since, wide=True),
+            lambda window: marts.daily_shipments(seen, parts, window, wide=True),
             "ship_date",
             load,
+            reopened=lambda _: upsert.touched_dates(seen, arrived, ["shipment_id"], "ship_date"),
         )
 
     return upsert.replay(LOADS, one_run)
 
 
-def _payout_runs(spark, sf_dir, strategy="replace_window"):
+def _payout_runs(spark, sf_dir, strategy="replace_window", loads=LOADS):
     s = Star(spark, sf_dir)
-    store = MartStore(spark, fresh_folder(spark, "payouts"))
+    store = MartStore(spark, fresh_folder(spark, "payouts"), PERIOD)
     deliveries, adjustments = star.deliveries(s), star.delivery_adjustments(s)
 
     def one_run(load):
-        seen = feeds.batch_upto(deliveries, "batch_id", load)
+        seen, lines = (feeds.batch_upto(feed, "batch_id", load) for feed in (deliveries, adjustments))
+        arrived = feeds.batch_exact(adjustments, "batch_id", load)
         return upsert.run_incremental(
             store,
             "daily_payouts",
-            lambda since: marts.daily_payouts(seen, adjustments, since, wide=True),
+            lambda window: marts.daily_payouts(seen, lines, window, wide=True),
             "delivery_date",
             load,
             lookback_days=marts.DELIVERY_SLA_DAYS,
             strategy=strategy,
             keys=["delivery_date", "city_code"],
+            reopened=lambda _: upsert.touched_dates(seen, arrived, ["delivery_id"], "delivery_date"),
         )
 
-    return upsert.replay(LOADS, one_run)
+    return upsert.replay(loads, one_run)
 
 
 def _payouts_at(spark, sf_dir, load):
     s = Star(spark, sf_dir)
-    seen = feeds.batch_upto(star.deliveries(s), "batch_id", load)
-    return marts.daily_payouts(seen, star.delivery_adjustments(s), wide=True)
+    seen, lines = (feeds.batch_upto(feed(s), "batch_id", load) for feed in (star.deliveries, star.delivery_adjustments))
+    return marts.daily_payouts(seen, lines, wide=True)
 
 
 @query(PAYOUTS_SQL)
@@ -132,13 +139,17 @@ def incremental_equals_full(spark, sf_dir):
 
 @query(PAYOUTS_SQL)
 def touched_keys_recompute(spark, sf_dir):
-    """Load 3 applied to the mart of load 2 by rebuilding only the groups its rows belong to."""
+    """Load 3 applied to the mart of load 2 by rebuilding only the groups its rows belong to:
+    deliveries, and adjustments of deliveries loaded before."""
     s = Star(spark, sf_dir)
     deliveries, adjustments = star.deliveries(s), star.delivery_adjustments(s)
     everything = feeds.batch_upto(deliveries, "batch_id", 3)
+    arrived = feeds.batch_exact(deliveries, "batch_id", 3).select("delivery_id").unionByName(
+        feeds.batch_exact(adjustments, "batch_id", 3).select("delivery_id")
+    )
     return upsert.recompute_touched(
         _payouts_at(spark, sf_dir, 2),
-        feeds.batch_exact(deliveries, "batch_id", 3),
+        everything.join(arrived.distinct(), "delivery_id", "left_semi"),
         everything,
         ["delivery_date", "city_code"],
         lambda rows: marts.daily_payouts(rows, adjustments, wide=True),
@@ -230,24 +241,28 @@ def daily_plan_revenue(spark, sf_dir):
     payments up to four days late, mart rows recomputed over the lookback window."""
     s = Star(spark, sf_dir)
     root = fresh_folder(spark, "revenue")
-    histories, store = HistoryStore(spark, f"{root}/history"), MartStore(spark, f"{root}/marts")
+    histories, store = HistoryStore(spark, f"{root}/history"), MartStore(spark, f"{root}/marts", PERIOD)
     invoices, lines, payments = star.invoices(s), star.invoice_lines(s), star.invoice_payments(s)
 
     def one_run(load):
         history = snapshot.run_snapshot(
             histories, marts.PLANS_SNAPSHOT, star.customer_dump(s, load), load, "2002-01-01"
         )
-        known = feeds.batch_upto(invoices, "batch_id", load)
-        paid = feeds.batch_upto(payments, "batch_id", load)
+        known, billed, paid = (feeds.batch_upto(feed, "batch_id", load) for feed in (invoices, lines, payments))
+        arrived = feeds.batch_exact(lines, "batch_id", load).select("invoice_id").unionByName(
+            feeds.batch_exact(payments, "batch_id", load).select("invoice_id")
+        )
+        dated = known.select("invoice_id", F.to_date("invoiced_at").alias("invoice_date"))
         return upsert.run_incremental(
             store,
             "daily_revenue",
-            lambda since: marts.daily_revenue(
-                marts.invoice_revenue(known, lines, paid, history, since, wide=True), wide=True
+            lambda window: marts.daily_revenue(
+                marts.invoice_revenue(known, billed, paid, history, window, wide=True), wide=True
             ),
             "invoice_date",
             load,
             lookback_days=marts.PAYMENT_SLA_DAYS,
+            reopened=lambda _: upsert.touched_dates(dated, arrived, ["invoice_id"], "invoice_date"),
         )
 
     return upsert.replay(LOADS, one_run)
@@ -302,6 +317,7 @@ def nightly_stream_payouts(spark, sf_dir):
             lambda seen, since: marts.daily_payouts(seen, adjustments, since, wide=True),
             "delivery_date",
             marts.DELIVERY_SLA_DAYS,
+            PERIOD,
         )
 
     return upsert.replay(LOADS, one_night)

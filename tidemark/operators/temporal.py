@@ -7,22 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import joins, timeline
-from .joins import hot_keys
 
-# Versions of one key up to which comparing each fact with all of them is cheap.
+# Versions of one key up to which searching all of them for each fact is cheap.
 FEW_VERSIONS = 64
 
 
-def covers(moment: Column, starts: Column, ends: Column) -> Column:
-    return (starts <= moment) & (ends.isNull() | (moment < ends))
-
-
 def point_in_time_join(
     facts: DataFrame,
     history: DataFrame,
@@ -35,13 +29,14 @@ def point_in_time_join(
 ) -> DataFrame:
     """Adds the attributes in effect at ``at``: ``take`` maps history columns to new names.
 
-    Every fact stays exactly once; one that no window covers gets NULLs, or ``defaults``.
+    Every fact stays exactly once: it meets the version that started last by then (of versions with one
+    start, the one with the greatest end and values), and takes its attributes if it still holds; else it gets
+    NULLs, or ``defaults``. Overlapping windows therefore repeat no fact, whatever the plan.
     ``keys`` is required: an interval alone would compare everything with everything.
-    The windows of a key must not overlap (see ``history_checks.window_overlaps``).
 
-    With few versions per key this is an equality join with the interval as its residual
-    condition, so a small history needs no shuffle of the facts. Past ``few_versions`` the
-    last version is carried forward along the timeline instead, which stays linear.
+    Keys with up to ``few_versions`` versions are folded to one row per key, an array that is searched
+    inside the joined fact: no fan-out, and no shuffle of the facts while the folded history is small enough
+    to be broadcast. Past that the last version is carried forward along the timeline, which stays linear.
     """
     if not keys:
         raise ValueError("a point-in-time join needs an equality key")
@@ -49,49 +44,25 @@ def point_in_time_join(
     versions = history.select(*keys, "valid_from", "valid_to", *take)
     most = versions.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
     if most <= few_versions:
-        joined = _interval_join(facts, versions, keys, at, hot_rows)
-        found = {new: F.col(f"_v.{old}") for old, new in take.items()}
+        joined = _folded_join(facts, versions, keys, at, hot_rows)
     else:
         joined = timeline.as_of(
             facts, versions, keys, at, "valid_from", ["valid_to", *take], "_v", hot_rows
         )
-        open_at = F.col("_v.valid_to").isNull() | (F.col(at) < F.col("_v.valid_to"))
-        found = {new: F.when(open_at, F.col(f"_v.{old}")) for old, new in take.items()}
+    open_at = F.col("_v.valid_to").isNull() | (F.col(at) < F.col("_v.valid_to"))
+    found = {new: F.when(open_at, F.col(f"_v.{old}")) for old, new in take.items()}
     for new, default in (defaults or {}).items():
         found[new] = F.coalesce(found[new], F.lit(default))
     return joined.select(*facts.columns, *[c.alias(new) for new, c in found.items()])
 
 
-def _interval_join(facts, versions, keys, at, hot_rows):
-    payload = versions.select(
-        *[F.col(k).alias(f"_k_{k}") for k in keys],
-        F.struct(*[c for c in versions.columns if c not in keys]).alias("_v"),
-    )
-    condition = covers(F.col(at), F.col("_v.valid_from"), F.col("_v.valid_to"))
-    for k in keys:
-        condition = condition & (F.col(k) == F.col(f"_k_{k}"))
-    hot = hot_keys(facts, keys, hot_rows)
-    if hot is None:
-        return facts.join(payload, condition, "left")
-    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    keyed = facts.where(has_key) if hot.missing else facts
-    if hot.named is None:
-        joined = keyed.join(payload, condition, "left")
-    else:
-        # Hot facts meet only the versions of hot keys: at most ``few_versions`` rows for each.
-        few = F.broadcast(hot.named)
-        renamed = F.broadcast(hot.named.select(*[F.col(k).alias(f"_k_{k}") for k in keys]))
-        hot_versions = joins.broadcast_if_small(
-            payload.join(renamed, [f"_k_{k}" for k in keys], "left_semi"),
-            joins.MAX_HOT_KEYS * FEW_VERSIONS,
-        )
-        cold = keyed.join(few, keys, "left_anti").join(payload, condition, "left")
-        joined = cold.unionByName(
-            keyed.join(few, keys, "left_semi").join(hot_versions, condition, "left")
-        )
-    if hot.missing:
-        joined = joined.unionByName(facts.where(~has_key), allowMissingColumns=True)
-    return joined
+def _folded_join(facts, versions, keys, at, hot_rows):
+    """Facts with ``_v``, their key's last version by then: one history row per key, none repeated."""
+    payload = F.struct("valid_from", *[c for c in versions.columns if c not in (*keys, "valid_from")])
+    folded = versions.where("valid_from is not null").groupBy(*keys).agg(F.collect_list(payload).alias("_versions"))
+    joined = joins.attach(facts, folded, keys, "left", hot_rows)
+    started = F.filter("_versions", lambda v: v["valid_from"] <= F.col(at))
+    return joined.withColumn("_v", F.array_max(started)).drop("_versions")
 
 
 def asof_latest(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.store import MartStore
+from ..sources.store import MartStore, NotRebuildable
 from .joins import keep_keys
 from .shaping import without_keys
 
@@ -22,6 +23,28 @@ class DuplicateKeys(Exception):
     pass
 
 
+@dataclass(frozen=True)
+class Window:
+    """The grain dates that a run recomputes: all from ``since`` on, and single earlier ones.
+
+    Rows without a date belong to every window.
+    """
+
+    since: date
+    reopened: frozenset[date] = frozenset()
+
+    def holds(self, day: str) -> Column:
+        """Whether a date, given by a column or expression in SQL, is in the window."""
+        inside = f"{day} is null or {day} >= date'{self.since}'"
+        listed = ", ".join(f"date'{d}'" for d in sorted(self.reopened))
+        return F.expr(inside + (f" or {day} in ({listed})" if listed else ""))
+
+
+def within(day: str, since: date | Window) -> Column:
+    """Whether a date is in a window, which may be given by its first date alone."""
+    return (since if isinstance(since, Window) else Window(since)).holds(day)
+
+
 def align(new: DataFrame, target: T.StructType, on_schema_change: str) -> DataFrame:
     """``new`` in the shape the target should have after this run.
 
@@ -77,15 +100,14 @@ def merge(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     return append(without_keys(target, new, keys), new)
 
 
-def replace_window(target: DataFrame, new: DataFrame, grain: str, since: date | None) -> DataFrame:
-    """Target rows before ``since``, then ``new``: also removes groups that no longer exist.
-
-    Rows without a grain date are in no window: those of the target stay.
+def replace_window(target: DataFrame, new: DataFrame, grain: str, since: date | Window | None) -> DataFrame:
+    """Target rows outside the window, then those of ``new`` in it: also removes groups that no
+    longer exist. Rows without a grain date are in every window: those of the target go.
     """
     if since is None:
         return new
-    earlier = target.where(F.col(grain).isNull() | (F.col(grain) < F.lit(since)))
-    return append(earlier, new.where(F.col(grain) >= F.lit(since)))
+    inside = within(grain, since)
+    return append(target.where(~inside), new.where(inside))
 
 
 def touched_keys(new_rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -120,22 +142,52 @@ def lower_bound(newest: date | None, lookback_days: int) -> date | None:
 
 
 def is_incremental(store: MartStore, name: str, run: int, full_refresh: bool) -> bool:
-    return not full_refresh and store.exists(name, before_run=run)
+    return not full_refresh and bool(store.ledger.runs(name, before_run=run))
 
 
 def window_start(
     store: MartStore, name: str, grain: str, run: int, lookback_days: int, full_refresh: bool = False
 ) -> date | None:
-    """The first grain date that run ``run`` recomputes; None if it builds everything."""
+    """The first grain date that run ``run`` recomputes; None if it builds everything.
+
+    A run that is repeated finds the newest date it found when it first began.
+    """
     if not is_incremental(store, name, run, full_refresh):
         return None
-    return lower_bound(store.newest(name, grain, before_run=run), lookback_days)
+    begun = store.ledger.found(name, run)
+    return lower_bound(begun.newest if begun else store.newest(name, grain), lookback_days)
+
+
+def touched_dates(headers: DataFrame, arrivals: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
+    """The dates of the headers that arriving child rows belong to, however old."""
+    return headers.join(arrivals.select(*keys).distinct(), list(keys), "left_semi").select(grain).distinct()
+
+
+def run_window(
+    store: MartStore,
+    name: str,
+    grain: str,
+    run: int,
+    lookback_days: int = 0,
+    full_refresh: bool = False,
+    reopened: Callable[[date], DataFrame] | None = None,
+) -> date | Window | None:
+    """What run ``run`` recomputes: everything (None), all from a date on, or a ``Window``.
+
+    ``reopened(since)`` gives the dates that late rows belong to; those before ``since`` are added.
+    They are collected, as they are no more than the calendar has.
+    """
+    since = window_start(store, name, grain, run, lookback_days, full_refresh)
+    if since is None or reopened is None:
+        return since
+    late = reopened(since).where(F.col(grain) < F.lit(since)).distinct().collect()
+    return Window(since, frozenset(r[0] for r in late)) if late else since
 
 
 def run_incremental(
     store: MartStore,
     name: str,
-    build: Callable[[date | None], DataFrame],
+    build: Callable[[date | Window | None], DataFrame],
     grain: str,
     run: int,
     lookback_days: int = 0,
@@ -143,44 +195,48 @@ def run_incremental(
     strategy: str = "replace_window",
     keys: Sequence[str] = (),
     on_schema_change: str = "fail",
-    whole_every: int = 30,
+    reopened: Callable[[date], DataFrame] | None = None,
 ) -> DataFrame:
     """One nightly run: derive the window, build it from full upstream, commit, read back.
 
-    ``build(since)`` returns the mart's rows with ``grain >= since`` (all rows for None). State
-    is read as of the runs before this one, so repeating a run repeats its result. Only the
-    window is written: rows before it are untouched by any strategy whose keys include the grain
-    date. Every ``whole_every`` runs the table is written whole, to keep the number of pieces a
-    reader has to put together small.
+    ``build(window)`` returns the mart's rows in the window and those without a date (all rows for
+    None). The window is its first date, or a ``Window`` if ``reopened`` names earlier dates.
+
+    Only the periods that the window touches are written, rows without a date among them, so the
+    mart equals a rebuild after every run. A run that is repeated finds the state it first found;
+    one older than the newest can't be repeated.
     """
+    store.ledger.refresh(name)
+    later = [r.run for r in store.ledger.runs(name) if r.run > run]
+    if later:
+        raise NotRebuildable(f"{name!r} already holds run {later[-1]}; run {run} cannot be redone")
     if not is_incremental(store, name, run, full_refresh):
-        store.write(name, run, build(None), grain=grain)
-        return store.read(name, grain, before_run=run + 1)
-    target = store.read(name, grain, before_run=run)
-    since = window_start(store, name, grain, run, lookback_days)
-    new = align(build(since), target.schema, on_schema_change)
-    windowed = (
-        since is not None
-        and (strategy in ("replace_window", "append") or grain in keys)
-        and new.schema.names == target.schema.names
-        and len(store.pieces(name, before_run=run)) < whole_every
-    )
-    if windowed:
-        target = target.where(F.col(grain) >= F.lit(since))
-    if strategy in ("delete_insert", "merge"):
-        new = store.stage(name, run, new)
+        store.write(name, run, build(None), grain)
+        return store.read(name)
+    window = run_window(store, name, grain, run, lookback_days, full_refresh, reopened)
+    asked, window = window, Window(window) if isinstance(window, date) else window
+    new = align(build(asked), store.schema(name, before_run=run), on_schema_change)
+    keyed = {"delete_insert": delete_insert, "merge": merge}.get(strategy)
+    if keyed and grain not in keys:
+        touched = None  # keys without the grain date reach rows of any date
+    else:
+        touched = window
+    # The periods that the window touches are written again from their rows, which the run keeps
+    # first. Rows without a date are all among the new ones.
+    kept = store.read(name, before_run=run, window=touched).where(F.col(grain).isNotNull())
+    if strategy == "replace_window" and window is not None:
+        kept = kept.where(~within(grain, window))
+    target = store.before(name, run, kept)
     if strategy == "replace_window":
-        state = new if windowed else replace_window(target, new, grain, since)
-    elif strategy == "delete_insert":
-        state = delete_insert(target, new, keys)
-    elif strategy == "merge":
-        state = merge(target, new, keys)
+        state = new if window is None else append(target, new)
+    elif keyed:
+        state = keyed(target, store.stage(name, run, new), keys)
     elif strategy == "append":
         state = append(target, new)
     else:
         raise ValueError(f"unknown strategy {strategy!r}")
-    store.write(name, run, state, since if windowed else None, grain)
-    return store.read(name, grain, before_run=run + 1)
+    store.write(name, run, state, grain, touched)
+    return store.read(name)
 
 
 def replay(batches: Iterable[int], one_run: Callable[[int], DataFrame]) -> DataFrame:

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..contract import Contract
 from ..functions.scalars import month_start, percent, sum_where
-from ..operators import joins, pivot, shaping, snapshot, temporal
+from ..operators import joins, pivot, shaping, snapshot, temporal, upsert
+from ..operators.upsert import Window
 
 # --- customer orders ---------------------------------------------------------------------
 
@@ -182,23 +183,23 @@ DAILY_SHIPMENTS = Contract(
 )
 
 
-def shipments_latest(log: DataFrame, since: date | None = None) -> DataFrame:
+def shipments_latest(log: DataFrame, since: date | Window | None = None) -> DataFrame:
     """Latest state per shipment, then without the cancelled ones (in this order: a cancelled
     shipment must not fall back to an older state). ``since`` is applied to latest states."""
     newest = [F.desc("updated_at"), F.desc("status"), F.desc("shipping_cost_usd")]
     latest = shaping.latest_per_key(log, ["shipment_id"], newest)
     if since is not None:
-        latest = latest.where(F.col("ship_date") >= F.lit(since))
+        latest = latest.where(upsert.within("ship_date", since))
     return latest.where(F.col("status") != "CANCELLED")
 
 
-def shipment_totals(log: DataFrame, items: DataFrame, since: date | None = None) -> DataFrame:
+def shipment_totals(log: DataFrame, items: DataFrame, since: date | Window | None = None) -> DataFrame:
     """One row per live shipment with its items added up; headers stay at header grain.
 
     With ``since``, both feeds are first cut to the ids of shipments that have some state on or
     after it; any shipment whose latest state qualifies is among them."""
     if since is not None:
-        recent = log.where(F.col("ship_date") >= F.lit(since))
+        recent = log.where(upsert.within("ship_date", since))
         log, items = joins.within_key_range(recent, "shipment_id", log, items)
     return joins.rollup_left(
         shipments_latest(log, since),
@@ -210,7 +211,7 @@ def shipment_totals(log: DataFrame, items: DataFrame, since: date | None = None)
 
 
 def daily_shipments(
-    log: DataFrame, items: DataFrame, since: date | None = None, wide: bool = False
+    log: DataFrame, items: DataFrame, since: date | Window | None = None, wide: bool = False
 ) -> DataFrame:
     result = shipment_totals(log, items, since).groupBy("ship_date", "warehouse_code").agg(
         F.count("*").alias("shipment_count"),
@@ -238,14 +239,14 @@ DELIVERY_SLA_DAYS = 4
 
 
 def delivery_totals(
-    deliveries: DataFrame, adjustments: DataFrame, since: date | None = None
+    deliveries: DataFrame, adjustments: DataFrame, since: date | Window | None = None
 ) -> DataFrame:
     """One row per live delivery with its adjustments added up.
 
     Write-once feed: cancelled deliveries are filtered, nothing is deduplicated."""
     counted = deliveries.where(F.col("status") != "CANCELLED")
     if since is not None:
-        counted = counted.where(F.col("delivery_date") >= F.lit(since))
+        counted = counted.where(upsert.within("delivery_date", since))
         (adjustments,) = joins.within_key_range(counted, "delivery_id", adjustments)
     return joins.rollup_left(
         counted,
@@ -259,7 +260,7 @@ def delivery_totals(
 def daily_payouts(
     deliveries: DataFrame,
     adjustments: DataFrame,
-    since: date | None = None,
+    since: date | Window | None = None,
     wide: bool = False,
 ) -> DataFrame:
     result = (
@@ -425,9 +426,13 @@ PLANS_SNAPSHOT = snapshot.SnapshotSpec(
 )
 
 
-def invoices_since(invoices: DataFrame, since: date) -> DataFrame:
+def invoices_since(invoices: DataFrame, since: date | Window) -> DataFrame:
     """Compared as a moment, so that the bound reaches the scan."""
-    return invoices.where(F.col("invoiced_at") >= F.lit(str(since)).cast("timestamp_ntz"))
+    window = since if isinstance(since, Window) else Window(since)
+    inside = F.expr(f"invoiced_at is null or invoiced_at >= timestamp_ntz'{window.since}'")
+    if window.reopened:
+        inside = inside | window.holds("to_date(invoiced_at)")
+    return invoices.where(inside)
 
 
 def invoice_revenue(
@@ -435,7 +440,7 @@ def invoice_revenue(
     lines: DataFrame,
     payments: DataFrame,
     history: DataFrame,
-    since: date | None = None,
+    since: date | Window | None = None,
     wide: bool = False,
 ) -> DataFrame:
     """Every invoice with its plan then, what was billed and what has been paid so far.

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import snapshot, upsert
 from ..operators.checks import CheckCountMismatch, ChecksFailed, CheckSuite, run_suites
@@ -58,14 +59,15 @@ def _whole(warehouse: Warehouse, name: str, run: int, df: DataFrame) -> DataFram
 def _incremental(
     warehouse: Warehouse,
     name: str,
-    build: Callable[[date | None], DataFrame],
+    build: Callable[[date | upsert.Window | None], DataFrame],
     grain: str,
     run: int,
     lookback_days: int,
     full_refresh: bool,
+    reopened: Callable[[date], DataFrame],
 ) -> DataFrame:
     return upsert.run_incremental(
-        warehouse.marts, name, build, grain, run, lookback_days, full_refresh
+        warehouse.marts, name, build, grain, run, lookback_days, full_refresh, reopened=reopened
     )
 
 
@@ -161,19 +163,25 @@ def daily_shipments(
     """The newest stored day is still open and is rebuilt; earlier days are closed."""
     log = feeds.staged_upto(shipments, specs.SHIPMENTS, batch)
     lines = feeds.staged_upto(items, specs.SHIPMENT_ITEMS, batch)
+    arrived = feeds.staged_exact(items, specs.SHIPMENT_ITEMS, batch)
+
+    def reopened(since: date) -> DataFrame:
+        return upsert.touched_dates(log, arrived, ["shipment_id"], "ship_date")
+
     gate = Gate("daily_shipments", warehouse.spark)
-    since = upsert.window_start(
-        warehouse.marts, "daily_shipments", "ship_date", batch, 0, full_refresh
+    window = upsert.run_window(
+        warehouse.marts, "daily_shipments", "ship_date", batch, 0, full_refresh, reopened
     )
-    gate.check(suites.shipment_feeds(log, lines, marts.shipment_totals(log, lines, since)))
+    gate.check(suites.shipment_feeds(log, lines, marts.shipment_totals(log, lines, window)))
     mart = _incremental(
         warehouse,
         "daily_shipments",
-        lambda since: marts.daily_shipments(log, lines, since),
+        lambda _: marts.daily_shipments(log, lines, window),
         "ship_date",
         batch,
         0,
         full_refresh,
+        reopened,
     )
     gate.check(suites.daily_shipments(mart))
     return gate.publish(daily_shipments=mart)
@@ -188,19 +196,26 @@ def daily_payouts(
 ) -> Published:
     headers = feeds.staged_upto(deliveries, specs.DELIVERIES, batch)
     lines = feeds.staged_upto(adjustments, specs.DELIVERY_ADJUSTMENTS, batch)
+    arrived = feeds.staged_exact(adjustments, specs.DELIVERY_ADJUSTMENTS, batch)
+
+    def reopened(since: date) -> DataFrame:
+        return upsert.touched_dates(headers, arrived, ["delivery_id"], "delivery_date")
+
     gate = Gate("daily_payouts", warehouse.spark)
-    since = upsert.window_start(
-        warehouse.marts, "daily_payouts", "delivery_date", batch, marts.DELIVERY_SLA_DAYS, full_refresh
-    )
-    gate.check(suites.delivery_feeds(headers, lines, marts.delivery_totals(headers, lines, since)))
+    window = upsert.run_window(
+        warehouse.marts, "daily_payouts", "delivery_date", batch, marts.DELIVERY_SLA_DAYS, full_refresh,
+        reopened,
+    )
+    gate.check(suites.delivery_feeds(headers, lines, marts.delivery_totals(headers, lines, window)))
     mart = _incremental(
         warehouse,
         "daily_payouts",
-        lambda since: marts.daily_payouts(headers, lines, since),
+        lambda _: marts.daily_payouts(headers, lines, window),
         "delivery_date",
         batch,
         marts.DELIVERY_SLA_DAYS,
         full_refresh,
+        reopened,
     )
     gate.check(suites.daily_payouts(mart, headers))
     return gate.publish(daily_payouts=mart)
@@ -276,9 +291,18 @@ def daily_revenue(
         warehouse.histories, marts.PLANS_SNAPSHOT, people, batch, run_ts
     )
     gate.check(suites.customers_history(history))
-    since = upsert.window_start(
-        warehouse.marts, "daily_revenue", "invoice_date", batch, marts.PAYMENT_SLA_DAYS, full_refresh
+    arrived = feeds.staged_exact(lines, specs.INVOICE_LINES, batch).select("invoice_id").unionByName(
+        feeds.staged_exact(payments, specs.INVOICE_PAYMENTS, batch).select("invoice_id")
     )
+    dated = billed.select("invoice_id", F.to_date("invoiced_at").alias("invoice_date"))
+
+    def reopened(since: date) -> DataFrame:
+        return upsert.touched_dates(dated, arrived, ["invoice_id"], "invoice_date")
+
+    since = upsert.run_window(
+        warehouse.marts, "daily_revenue", "invoice_date", batch, marts.PAYMENT_SLA_DAYS, full_refresh,
+        reopened,
+    )
     # Stored, as the mart and its checks each read it.
     window = warehouse.marts.stage(
         "invoice_revenue", batch, marts.invoice_revenue(billed, detail, paid, history, since)
@@ -291,6 +315,7 @@ def daily_revenue(
         batch,
         marts.PAYMENT_SLA_DAYS,
         full_refresh,
+        reopened,
     )
     recent = billed if since is None else marts.invoices_since(billed, since)
     gate.check(suites.daily_revenue(window, mart, billed, detail, paid, history, recent))

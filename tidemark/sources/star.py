@@ -244,11 +244,17 @@ def shipments(s: Star) -> DataFrame:
     )
 
 
+def line_load(last_days: Sequence[str]) -> Column:
+    """The load of a child row, by its own date: long before or after its header's."""
+    return load_number(F.to_date("l_shipdate"), last_days).alias("batch_id")
+
+
 def shipment_items(s: Star) -> DataFrame:
     return s.lineitem.select(
         F.col("l_orderkey").alias("shipment_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         (F.col("l_quantity") * 0.25).cast("decimal(9,3)").alias("line_weight_kg"),
+        line_load(SHIPMENT_LOADS),
     )
 
 
@@ -272,6 +278,7 @@ def delivery_adjustments(s: Star) -> DataFrame:
     return s.lineitem.select(
         F.col("l_orderkey").alias("delivery_id"),
         F.when(F.col("l_returnflag") == "R", -amount).otherwise(amount).alias("adj_amount_usd"),
+        line_load(DELIVERY_LOADS),
     )
 
 
@@ -370,6 +377,7 @@ def invoice_lines(s: Star) -> DataFrame:
     return s.lineitem.select(
         F.col("l_orderkey").alias("invoice_id"),
         F.col("l_extendedprice").cast(MONEY).alias("amount_usd"),
+        line_load(BILLING_LOADS),
     )
 
 

@@ -42,13 +42,14 @@ def stream_mart(
     build: Callable[[DataFrame, date | None], DataFrame],
     grain: str,
     lookback_days: int,
+    period: str = "month",
 ) -> DataFrame:
     """Brings the mart up to date with everything delivered, and returns it.
 
     The loads of each micro-batch are put into the raw log and the mart's incremental step runs on the
     whole log, exactly as a scheduled nightly run would.
     """
-    store, log = MartStore(spark, f"{root}/marts"), f"{root}/log"
+    store, log = MartStore(spark, f"{root}/marts", period), f"{root}/log"
     logged = T.StructType([*schema, T.StructField("load", T.IntegerType())])
 
     def one_batch(rows: DataFrame, number: int) -> None:
@@ -74,4 +75,4 @@ def stream_mart(
         .start()
     )
     stream.awaitTermination()
-    return store.read(name, grain)
+    return store.read(name)
