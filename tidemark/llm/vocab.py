@@ -46,6 +46,17 @@ _FAST = {
 _SPACES = re.compile("[\\t-\\r ]+")
 
 
+class _Memo(dict):
+    """Values by key, made when first asked for."""
+
+    def __init__(self, make):
+        self.make = make
+
+    def __missing__(self, key):
+        value = self[key] = self.make(key)
+        return value
+
+
 class WordEncoder:
     def __init__(self, path: str, plain_specials: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
@@ -55,8 +66,8 @@ class WordEncoder:
             pattern = json.load(source)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pieces = (re.compile(_FAST[pattern]) if pattern in _FAST else regex.compile(pattern)).findall
         self.letters = {b: c for c, b in byte_letters().items()}
-        self.seen: dict[str, bytes] = {}
-        self.seen_pieces: dict[str, bytes] = {}
+        self.seen, self.seen_pieces = _Memo(self._word), _Memo(self._piece)
+        self.odd: set[str] = set()  # words that go to the tokenizer whole
 
     def ids(self, text: str | None) -> np.ndarray:
         """Ids of one whole text as uint32."""
@@ -81,7 +92,11 @@ class WordEncoder:
             return text.lower().split()
         words = []
         for word in _SPACES.split(text):
-            words.extend([word] if _NOT_SIMPLE.search(word) else word.lower().split())
+            if _NOT_SIMPLE.search(word):
+                self.odd.add(word)
+                words.append(word)
+            else:
+                words.extend(word.lower().split())
         return words
 
     def _laid_out(self, held: list[str], sizes: list[int]) -> Iterator[np.ndarray]:
@@ -96,30 +111,24 @@ class WordEncoder:
             place += size
 
     def _encoded(self, words: list[str]) -> list[bytes]:
-        seen = self.seen
-        if len(seen) + len(words) > REMEMBERED:
-            seen.clear()
-        if len(self.seen_pieces) + len(words) > REMEMBERED:
-            self.seen_pieces.clear()
-        found = list(map(seen.get, words))
-        for k, ids in enumerate(found):
-            if ids is None:
-                found[k] = seen[words[k]] = self._word(words[k])
+        for memo in (self.seen, self.seen_pieces):
+            if len(memo) + len(words) > REMEMBERED:
+                memo.clear()
+        found = list(map(self.seen.__getitem__, words))
+        self.odd.clear()
         return found
 
     def _word(self, word: str) -> bytes:
-        if _NOT_SIMPLE.search(word):
+        if word in self.odd:
             return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         pieces = self.pieces(word)
-        return self._piece(pieces[0]) if len(pieces) == 1 else b"".join(map(self._piece, pieces))
+        if len(pieces) == 1:
+            return self.seen_pieces[pieces[0]]
+        return b"".join(map(self.seen_pieces.__getitem__, pieces))
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.seen_pieces.get(piece)
-        if ids is None:
-            spelled = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
-            ids = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
-            self.seen_pieces[piece] = ids
-        return ids
+        spelled = piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
 
 @lru_cache(maxsize=4)
