@@ -20,6 +20,15 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACES), "")
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """128 bits that name an id with its text, either of them possibly missing.
+
+    A missing value gives the marker ``-``, a present one follows ``+``, so none is like another.
+    """
+    part = lambda c: F.coalesce(F.concat(F.lit("+"), F.col(c).cast("string")), F.lit("-"))
+    return F.unhex(F.md5(F.concat(part(id_col), F.lit(" "), part(text_col))))
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

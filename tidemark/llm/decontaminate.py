@@ -10,8 +10,9 @@ Documents too small for a class skip its sketches. Candidates are then verified
 of shingles, compared as text.
 
 Words are runs of letters, marks and digits, lower-cased. A text with fewer than five words is one
-shingle; one without words has none and matches nothing. Rows that share an id are one document (or
-item); rows without id can't be named and are left out. Empty tables give no rows.
+shingle; one without words has none and matches nothing. A document or item is an id with a text, told
+apart by a 128-bit hash of both: texts that share an id, or lack one, are searched each for itself
+and reported under the id they have; rows with equal id and text are one. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import staged, table
+from .common import row_key, staged, table
 
 WIDTH = 5
 CONTAINMENT = 0.8
@@ -51,14 +52,17 @@ def _gram(width: int) -> Column:
 
 
 def item_shingles(items: DataFrame, id_col: str, text_col: str, width: int = WIDTH) -> DataFrame:
-    """(item, gram, h, n, class): the distinct shingles of every item."""
-    worded = items.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("item"), plain_words(F.col(text_col)).alias("_w")
+    """(item, item_key, gram, h, n, class): the distinct shingles of every item."""
+    worded = items.select(
+        F.col(id_col).alias("item"),
+        row_key(id_col, text_col).alias("item_key"),
+        plain_words(F.col(text_col)).alias("_w"),
     )
-    grams = _shingle_rows(worded, width, "item").select("item", _gram(width).alias("gram"), _hash(width).alias("h"))
+    named = _shingle_rows(worded, width, "item", "item_key")
+    grams = named.select("item", "item_key", _gram(width).alias("gram"), _hash(width).alias("h"))
     grams = grams.distinct()
-    sizes = grams.groupBy("item").agg(F.count("*").alias("n"))
-    return grams.join(sizes, "item").withColumn("class", F.floor(F.log2("n")).cast("int"))
+    sizes = grams.groupBy("item_key").agg(F.count("*").alias("n"))
+    return grams.join(sizes, "item_key").withColumn("class", F.floor(F.log2("n")).cast("int"))
 
 
 def sketches(shingles: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
@@ -69,47 +73,62 @@ def sketches(shingles: DataFrame, containment: float = CONTAINMENT) -> DataFrame
     """
     largest = F.pow(F.lit(2.0), F.col("class") + 1) - 1
     needed = F.floor(largest * (1 - containment) + 1e-9) + 1
-    place = F.row_number().over(Window.partitionBy("item").orderBy(F.xxhash64("h"), "gram"))
+    place = F.row_number().over(Window.partitionBy("item_key").orderBy(F.xxhash64("h"), "gram"))
     return shingles.withColumn("_r", place).where(F.col("_r") <= needed).select("h", "class").distinct()
 
 
-def find_leaks(
+def _leaks(
     docs: DataFrame,
     items: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    item_id: str = "item_id",
-    item_text: str = "text",
-    width: int = WIDTH,
-    containment: float = CONTAINMENT,
+    id_col: str,
+    text_col: str,
+    item_id: str,
+    item_text: str,
+    width: int,
+    containment: float,
 ) -> DataFrame:
-    """(id, item, item_shingles, shared_shingles, containment) of every leaked item."""
+    """(doc, doc_key, item, n, shared): a row per document and item it holds."""
     shingles = staged(item_shingles(items, item_id, item_text, width), "items")
     sketch = staged(sketches(shingles, containment), "sketches")
     if sketch.count() <= BROADCAST_ROWS:
         sketch = F.broadcast(sketch)
-    named = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), text_col)
-    worded = named.select("doc", plain_words(F.col(text_col)).alias("_w"))
+    worded = docs.select(
+        F.col(id_col).alias("doc"), row_key(id_col, text_col).alias("doc_key"), plain_words(F.col(text_col)).alias("_w")
+    )
     # a document is large enough for a class if it can hold the share of the class's least size
     room = F.floor(F.log2(F.size("_w") / F.lit(containment) + F.lit(1e-9)))
     hit = (
-        _shingle_rows(worded, width, "doc")
-        .select("doc", _hash(width).alias("h"), room.alias("room"))
+        _shingle_rows(worded, width, "doc_key")
+        .select("doc_key", _hash(width).alias("h"), room.alias("room"))
         .join(sketch, "h")
         .where("class <= room")
-        .groupBy("doc")
+        .groupBy("doc_key")
         .count()
-        .select("doc")
+        .select("doc_key")
     )
     candidates = staged(hit, "candidates")
     held = (
-        _shingle_rows(worded.join(candidates, "doc", "left_semi"), width, "doc")
-        .select("doc", _gram(width).alias("gram"), _hash(width).alias("h"))
-        .join(shingles.select("item", "n", "h", "gram"), ["h", "gram"])
-        .groupBy("doc", "item", "n")
+        _shingle_rows(worded.join(candidates, "doc_key", "left_semi"), width, "doc", "doc_key")
+        .select("doc", "doc_key", _gram(width).alias("gram"), _hash(width).alias("h"))
+        .join(shingles.select("item", "item_key", "n", "h", "gram"), ["h", "gram"])
+        .groupBy("doc", "doc_key", "item", "item_key", "n")
         .agg(F.countDistinct("gram").alias("shared"))
     )
-    return held.where(F.col("shared") >= F.ceil(F.col("n") * F.lit(containment) - F.lit(1e-9))).select(
+    return held.where(F.col("shared") >= F.ceil(F.col("n") * F.lit(containment) - F.lit(1e-9)))
+
+
+def find_leaks(
+    docs: DataFrame,
+    items: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    item_id: str = "item_id",
+    item_text: str = "text",
+    width: int = WIDTH,
+    containment: float = CONTAINMENT,
+) -> DataFrame:
+    """(id, item, item_shingles, shared_shingles, containment) of every leaked item."""
+    return _leaks(docs, items, id_col, text_col, item_id, item_text, width, containment).select(
         F.col("doc").alias(id_col),
         F.col("item").alias(item_id),
         F.col("n").alias("item_shingles"),
@@ -118,10 +137,15 @@ def find_leaks(
     )
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` without the documents that hold an item; rows without id stay."""
-    leaked = staged(find_leaks(docs, items, id_col).select(id_col).distinct(), "leaked")
-    return docs.join(leaked, id_col, "left_anti").select(*docs.columns)
+def decontaminated(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id"
+) -> DataFrame:
+    """``docs`` without the documents that hold an item, with or without ids."""
+    plain = docs.select(id_col, text_col)
+    leaks = _leaks(plain, items.select(item_id, "text"), id_col, text_col, item_id, "text", WIDTH, CONTAINMENT)
+    leaked = staged(leaks.select("doc_key").distinct(), "leaked")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_col, text_col).alias("doc_key"))
+    return rows.join(leaked, "doc_key", "left_anti").select("row.*")
 
 
 def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,21 +155,24 @@ def op1_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 LEAKS_SQL = r"""
-WITH words AS (
-  SELECT 'doc' AS kind, doc_id AS id,
+WITH texts AS (
+  SELECT row_number() OVER () AS row, * FROM (
+    SELECT DISTINCT 'doc' AS kind, doc_id AS id, text FROM documents
+    UNION ALL
+    SELECT DISTINCT 'item', item_id, text FROM benchmark
+  ) WHERE text IS NOT NULL
+), words AS (
+  SELECT row, kind, id,
          list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '') AS w
-  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL
-  UNION ALL
-  SELECT 'item', item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{M}\p{N}]+'), lambda x: x <> '')
-  FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
+  FROM texts
 ), grams AS (
-  SELECT DISTINCT kind, id, array_to_string(w[i:i + 4], ' ') AS gram
-  FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
-), sizes AS (SELECT id, count(*) AS n FROM grams WHERE kind = 'item' GROUP BY id)
+  SELECT DISTINCT row, kind, id, array_to_string(w[i:i + 4], ' ') AS gram
+  FROM (SELECT row, kind, id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+), sizes AS (SELECT row, count(*) AS n FROM grams WHERE kind = 'item' GROUP BY row)
 SELECT d.id AS doc_id, i.id AS item_id, n AS item_shingles, count(*) AS shared_shingles,
        count(*)::DOUBLE / n AS containment
-FROM grams d JOIN grams i ON d.gram = i.gram AND d.kind = 'doc' AND i.kind = 'item' JOIN sizes ON sizes.id = i.id
-GROUP BY d.id, i.id, n
+FROM grams d JOIN grams i ON d.gram = i.gram AND d.kind = 'doc' AND i.kind = 'item' JOIN sizes ON sizes.row = i.row
+GROUP BY d.row, d.id, i.row, i.id, n
 HAVING count(*) >= ceil(n * 0.8::DOUBLE - 1e-9)
 """
 
