@@ -24,11 +24,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import staged, table
+from .common import row_key, staged, table
 from .components import components
 
 WIDTH = 3
@@ -98,63 +98,64 @@ def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     return points.join(named.select("point", "b"), "point").select(F.col("fp").alias("a"), "b").distinct()
 
 
-def _found(docs: DataFrame, id_col: str, text_col: str, width: int, radius: int) -> DataFrame:
-    """(id, fp, component_id, chosen_fp), one row per row of ``docs``.
+def _classes(prints: DataFrame, radius: int, order: list[str]) -> DataFrame:
+    """(fp, lead) per distinct fingerprint of ``prints`` (id, fp, ...).
 
-    A component is led by its least id, with the least fingerprint that this id has in it. Ids may
-    lead several components, so (component_id, chosen_fp) tells them apart.
+    ``lead`` has the ``order`` columns of the first row of the fingerprint's component: the one with
+    the least id (missing ids last), then the least of the other columns.
     """
-    prints = staged(
-        docs.select(F.col(id_col).alias("id"), fingerprints(width)(F.col(text_col)).alias("fp")), "prints"
-    )
-    nodes = staged(prints.groupBy("fp").agg(F.min("id").alias("least_id")), "nodes")
+    first = F.min(F.struct(F.col("id").isNull().alias("unnamed"), *order)).alias("least")
+    nodes = staged(prints.groupBy("fp").agg(first), "nodes")
     rooted = components(links(nodes.select("fp"), radius))
-    linked = rooted.join(nodes, F.col("node") == F.col("fp")).where("least_id is not null")
-    least = linked.groupBy("root").agg(F.min(F.struct("least_id", "fp")).alias("lead"))
-    named = rooted.join(least, "root", "left").select("node", "lead")
-    lead = F.when(F.col("node").isNull(), F.struct("least_id", "fp")).otherwise(F.col("lead"))
-    classes = staged(
-        nodes.join(named, F.col("fp") == F.col("node"), "left").select(
-            "fp", lead["least_id"].alias("component_id"), lead["fp"].alias("chosen_fp")
-        ),
-        "classes",
-    )
-    return prints.join(classes, "fp").select("id", "fp", "component_id", "chosen_fp")
+    linked = rooted.join(nodes, F.col("node") == F.col("fp"))
+    least = linked.groupBy("root").agg(F.min("least").alias("lead"))
+    named = rooted.join(least, "root").select("node", "lead")
+    joined = nodes.join(named, F.col("fp") == F.col("node"), "left")
+    return staged(joined.select("fp", F.coalesce("lead", "least").alias("lead")), "classes")
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, radius: int = RADIUS
 ) -> DataFrame:
     """(id, fingerprint as long, component_id), one row per row of ``docs``."""
-    found = _found(docs, id_col, text_col, width, radius)
-    return found.select(F.col("id").alias(id_col), "fp", "component_id")
+    prints = staged(
+        docs.select(F.col(id_col).alias("id"), fingerprints(width)(F.col(text_col)).alias("fp")), "prints"
+    )
+    found = prints.join(_classes(prints, radius, ["id"]), "fp")
+    return found.select(F.col("id").alias(id_col), "fp", F.col("lead.id").alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of ``docs`` per component: one with the least id. Rows without id stay.
+    """One row of ``docs`` per component: one with the least id, missing ids last.
 
-    Decided by id and fingerprint, as an id may stand for unlike texts. Of several rows with the
-    chosen id and fingerprint the one whose text has the least hash stays.
+    Ids may be missing or stand for unlike texts, so rows are decided by a hash of id and text.
+    Texts of one component that share the least id are decided by fingerprint, then by that hash; of
+    rows that are equal in id and text the one whose other columns hash lowest stays.
     """
+    prints = staged(
+        docs.select(
+            F.col(id_col).alias("id"),
+            row_key(id_col, text_col).alias("key"),
+            fingerprints(WIDTH)(F.col(text_col)).alias("fp"),
+        ),
+        "prints",
+    )
+    classes = _classes(prints, RADIUS, ["id", "fp", "key"])
     counted = staged(
-        _found(docs, id_col, text_col, WIDTH, RADIUS)
-        .where("id is not null")
-        .groupBy("id", "fp", (F.expr("id = component_id and fp = chosen_fp")).alias("chosen"))
-        .count(),
+        prints.groupBy("fp", "key").count().join(classes, "fp").select(
+            "key", "count", (F.col("key") == F.col("lead.key")).alias("chosen")
+        ),
         "decided",
     )
-    gone = counted.where("not chosen").select("id", "fp")
-    repeated = counted.where("chosen and count > 1").select("id", "fp")
-    again = repeated.limit(1).count()
-    rows = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(id_col).alias("id"), fingerprints(WIDTH)(F.col(text_col)).alias("fp")
-    )
-    kept = rows.join(gone, ["id", "fp"], "left_anti")
-    if again:
-        order = [F.xxhash64(f"row.{text_col}"), F.sha2(F.col("row").cast("string"), 256)]
-        first = F.row_number().over(Window.partitionBy("id", "fp").orderBy(*order))
-        single = kept.join(repeated, ["id", "fp"], "left_semi").withColumn("n", first).where("n = 1")
-        kept = kept.join(repeated, ["id", "fp"], "left_anti").unionByName(single.drop("n"))
+    gone = counted.where("not chosen").select("key")
+    repeated = counted.where("chosen and count > 1").select("key")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), row_key(id_col, text_col).alias("key"))
+    kept = rows.join(gone, "key", "left_anti")
+    if not repeated.isEmpty():
+        # a group of equal rows may be large, so its first row is found by an aggregate
+        again = kept.join(repeated, "key", "left_semi").withColumn("order", F.sha2(F.col("row").cast("string"), 256))
+        single = again.groupBy("key").agg(F.min_by("row", "order").alias("row"))
+        kept = kept.join(repeated, "key", "left_anti").unionByName(single.select(*kept.columns))
     return kept.select("row.*")
 
 
