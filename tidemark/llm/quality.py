@@ -5,7 +5,7 @@ rule; a policy is a set of rules, so a new version or an ablation reads the ledg
 
 Defined cases: a missing or empty text has no words and fails ``few_words``; rows are judged one by
 one, so repeated rows, missing ids and further columns pass through unchanged. Columns of the input
-that share a name with a measurement are replaced by it.
+that share a name with a measurement are replaced by it in the ledger; ``kept`` returns them as they were.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, words
+from .common import staged, table, words
 
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -132,6 +132,17 @@ def passes(names: tuple[str, ...]) -> Column:
     return F.col("fail_bits").bitwiseAND(F.lit(mask(names))) == 0
 
 
+def kept(docs: DataFrame, policy: str = CURRENT, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that pass a policy, with their own columns, however these are named."""
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(text).alias("_text"))
+    return ledger(rows, "_text").where(passes(POLICIES[policy])).select("_row.*")
+
+
+def stored_ledger(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, measurements, failure bits) of every row, written once: policies and ablations read it."""
+    return staged(ledger(docs.select(F.col(id_col), F.col(text).alias("_text")), "_text").drop("_text"), "quality-ledger")
+
+
 def ablation(entries: DataFrame, policies: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
     """Per policy and rule: rows kept now, rows that fail the rule, rows that only this rule removes.
 
@@ -162,7 +173,7 @@ def ablation(entries: DataFrame, policies: dict[str, tuple[str, ...]] | None = N
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return stored_ledger(table(spark, sf_dir, "documents")).select(
         "doc_id",
         "n_words",
         "word_chars",
@@ -175,7 +186,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUALITY_SQL = r"""
+def quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of each policy costs, from the stored ledger of all documents."""
+    return ablation(stored_ledger(table(spark, sf_dir, "documents")))
+
+
+LEDGER_SQL = r"""
 WITH texts AS (
   SELECT doc_id, coalesce(text, '') AS body, row_number() OVER () AS rid FROM documents
 ), split AS (
@@ -206,10 +222,26 @@ WITH texts AS (
     + CASE WHEN word_chars > 20 * n_words THEN 32 ELSE 0 END)::BIGINT AS fail_bits
   FROM measures
 )
+"""
+
+QUALITY_SQL = LEDGER_SQL + """
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        fail_bits & 3 <> 0 AS base_failed, fail_bits = 0 AS kept, fail_bits
 FROM bits
 """
 
-QUERIES = {"op5_quality_rules": op5_quality_rules}
-ORACLES = {"op5_quality_rules": QUALITY_SQL}
+_POLICY_RULES = ", ".join(
+    f"('{policy}', '{rule.name}', {mask(names)}, {1 << rule.bit})"
+    for policy, names in POLICIES.items()
+    for rule in RULES
+    if rule.name in names
+)
+ABLATION_SQL = LEDGER_SQL + f"""
+SELECT policy, rule, count(*) FILTER (fail_bits & m = 0) AS kept, count(*) FILTER (fail_bits & b <> 0) AS failing,
+       count(*) FILTER (fail_bits & m = b) AS only_this_rule
+FROM bits, (VALUES {_POLICY_RULES}) AS rules(policy, rule, m, b)
+GROUP BY policy, rule
+"""
+
+QUERIES = {"op5_quality_rules": op5_quality_rules, "quality_ablation": quality_ablation}
+ORACLES = {"op5_quality_rules": QUALITY_SQL, "quality_ablation": ABLATION_SQL}
