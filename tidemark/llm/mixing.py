@@ -1,17 +1,17 @@
 """Mixing sources to target weights (native).
 
 Words are summed per source, targets follow from weights, and ``target / size`` is the source's
-repetition rate. A document is emitted ``floor(rate)`` times, plus once more if a hash of its id
-and the seed falls below the fraction; reruns therefore agree.
+repetition rate. A document is emitted ``floor(rate)`` times, plus once more if a hash of its id,
+its text and the seed falls below the fraction; reruns therefore agree.
 
 Defined cases: a missing text has size 0; a missing source is a source of its own, ordered last;
-documents of a source without any words are not taken; rows that repeat an id fare alike; a missing
-id hashes like the word ``null``. An empty table gives an empty mix.
+documents of a source without any words are not taken; rows that repeat both id and text fare alike,
+texts without an id or with a shared one are drawn each for itself. An empty table gives an empty mix.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions, staged, table, words
@@ -72,23 +72,28 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int
     return weighed.select("source", "source_size", F.when(full, limit.cast("double")).otherwise(part).alias("target"))
 
 
-def chance(id_col: str, seed: str):
-    """A number in [0, 1) from the id, the same in every run and engine."""
-    digest = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
-    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+def chance(id_col: str, digest: Column, seed: str) -> Column:
+    """A number in [0, 1) from the id and the text's ``digest``, the same in every run and engine."""
+    named = F.concat_ws(":", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), digest)
+    return F.conv(F.substring(F.md5(named), 1, 13), 16, 10).cast("double") / F.lit(float(16**13))
+
+
+def text_digest(text: str = "text") -> Column:
+    return F.md5(F.coalesce(F.col(text), F.lit("")))
 
 
 def rated(sized: DataFrame, id_col: str = "doc_id", seed: str = SEED) -> DataFrame:
-    """Adds ``source_size``, ``target`` and ``copies`` to rows with source and size."""
+    """Adds ``source_size``, ``target`` and ``copies`` to rows with source, size and digest."""
     per_source = targets(sized.groupBy("source").agg(F.sum("size").alias("source_size")))
     shares = per_source.withColumnRenamed("source", "_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
+    draw = chance(id_col, F.col("digest"), seed)
     return (
         sized.join(shares, F.col("source").eqNullSafe(F.col("_source")))
         .withColumn("_rate", rate)
         .withColumn(
             "copies",
-            F.floor("_rate") + F.when(chance(id_col, seed) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0),
+            F.floor("_rate") + F.when(draw < F.col("_rate") - F.floor("_rate"), 1).otherwise(0),
         )
         .drop("_rate", "_source")
     )
@@ -109,7 +114,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", seed: str = SEED) -> DataFrame:
         F.col("source").alias("_source"),
         F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("_rate"),
     )
-    copies = F.floor("_rate") + F.when(chance(id_col, seed) < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
+    draw = chance(id_col, text_digest(), seed)
+    copies = F.floor("_rate") + F.when(draw < F.col("_rate") - F.floor("_rate"), 1).otherwise(0)
     joined = docs.join(staged(shares, "shares"), F.col("source").eqNullSafe(F.col("_source")))
     return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(MOST)))).where(
         F.col("_copy") <= copies
@@ -117,7 +123,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", seed: str = SEED) -> DataFrame:
 
 
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text")).drop("text")
+    docs = sized(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    docs = docs.withColumn("digest", text_digest()).drop("text")
     return rated(staged(docs, "sizes")).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken")
     )
@@ -125,7 +132,7 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MIX_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
          len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size
   FROM documents
 ), sources AS (
@@ -150,7 +157,7 @@ WITH sized AS (
 ), rated AS (
   SELECT doc_id, size, source_size, target,
          CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS rate,
-         ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT::DOUBLE
+         ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, 'null') || ':' || digest), 1, 13))::BIGINT::DOUBLE
            / 4503599627370496.0::DOUBLE AS chance
   FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source
 )
