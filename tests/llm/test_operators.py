@@ -138,7 +138,18 @@ def test_simhash_query_on_hard_rows(docs):
 
 def test_one_document_per_group_stays(docs):
     kept = [r["doc_id"] for r in simhash.deduplicated(docs).collect()]
-    assert kept.count(1) == 1 and 2 not in kept and kept.count(None) == 2
+    groups = brute_components([brute_fingerprint(r[1]) if len(r[1] or "") < 9000 else simhash.fingerprint(r[1]) for r in ROWS])
+    first = {}
+    for r, g in zip(ROWS, groups, strict=True):
+        first[g] = min(first.get(g, r[0]), r[0], key=lambda x: (x is None, x or 0))
+    assert sorted(kept, key=str) == sorted(first.values(), key=str)
+
+
+def test_copies_without_ids_are_one_group(spark):
+    data = [(None, LONG), (None, LONG), (None, LONG.upper()), (None, LONG[::-1]), (None, None), (None, "")]
+    for order in (data, data[::-1]):
+        got = rows(simhash.deduplicated(spark.createDataFrame(order, "doc_id long, text string").repartition(3)), "text")
+        assert len(got) == 3 and (LONG[::-1],) in got and len({(t or "").lower() for (t,) in got}) == 3
 
 
 def test_repeated_ids_are_decided_by_text(spark):
@@ -148,7 +159,7 @@ def test_repeated_ids_are_decided_by_text(spark):
     near = next(v for v in variants if 0 < (simhash.fingerprint(v) ^ simhash.fingerprint(b)).bit_count() <= 2)
     a, c, d = ("alpha " + LONG[::-1], "gamma " + LONG, "delta " + b[::-1])
     data = [(5, a), (5, b), (3, near), (6, c), (6, d), (6, d.upper()), (6, d), (None, b)]
-    want = sorted([(5, a), (3, near), (6, c), (None, b)], key=str)
+    want = sorted([(5, a), (3, near), (6, c)], key=str)
     kept = []
     for order in (data, data[::-1]):
         got = rows(simhash.deduplicated(spark.createDataFrame(order, "doc_id long, text string").repartition(3)), "doc_id", "text")
@@ -176,7 +187,20 @@ def test_leaks_in_long_documents_are_found(spark):
         decontaminate.find_leaks(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")),
         "doc_id", "item_id", "shared_shingles",
     )
-    assert got == sorted([(1, 10, 36), (2, 10, 30), (3, 10, 31), (7, 11, 1), (8, 11, 1), (9, 10, 36)], key=str)
+    held = [(1, 36), (2, 30), (3, 31), (9, 36), (None, 36)]
+    assert got == sorted([*((d, i, n) for d, n in held for i in (10, None)), (7, 11, 1), (8, 11, 1)], key=str)
+
+
+def test_texts_that_share_an_id_are_searched_each_for_itself(spark):
+    one, two = (" ".join(f"{c}{i}" for i in range(40)) for c in "qr")
+    half = two.split()
+    texts = [(1, LONG + " " + one), (2, " ".join(half[:20])), (2, " ".join(half[20:])), (3, two), (3, LONG), (None, one), (None, LONG)]
+    docs = spark.createDataFrame([(*t, "clash", "clash") for t in texts], "doc_id long, text string, row string, doc_key string")
+    items = spark.createDataFrame([(7, one), (7, two)], "item_id long, text string")
+    assert rows(decontaminate.find_leaks(docs, items), "doc_id", "item_id") == [(1, 7), (3, 7), (None, 7)]
+    kept = decontaminate.decontaminated(docs, items)
+    assert kept.columns == docs.columns
+    assert rows(kept, "doc_id", "text") == sorted([(2, texts[1][1]), (2, texts[2][1]), (3, LONG), (None, LONG)], key=str)
 
 
 # ---- URL filters
@@ -380,12 +404,12 @@ def test_window_keys_depend_on_the_window_only():
 def brute_suffixes(data):
     seen, twice = set(), set()
     for doc, b in data:
-        for i in range(len(b) - 199) if doc is not None else ():
+        for i in range(len(b) - 199):
             (twice if b[i : i + 200] in seen else seen).add(b[i : i + 200])
     out = []
     for doc, b in data:
         drop = np.zeros(len(b) + 1, bool)
-        for i in range(len(b) - 199) if doc is not None else ():
+        for i in range(len(b) - 199):
             if b[i : i + 200] in twice:
                 drop[i : i + 200] = True
         runs = int((np.diff(np.concatenate([[0], drop.astype(int)])) == 1).sum())
@@ -468,7 +492,7 @@ def test_mix_reaches_its_targets(spark):
     rng = random.Random(7)
     data = [(i, "w " * rng.randrange(1, 40), rng.choice(["é", "a", "Z", None, "b", "c", "d"])) for i in range(4000)]
     df = spark.createDataFrame(data, "doc_id long, text string, source string")
-    got = mixing.rated(mixing.sized(df).drop("text")).collect()
+    got = mixing.rated(mixing.sized(df).withColumn("digest", mixing.text_digest())).collect()
     sizes = {}
     for _, t, s in data:
         sizes[s] = sizes.get(s, 0) + len(words(t))
@@ -483,9 +507,27 @@ def test_mix_reaches_its_targets(spark):
     assert {r[0]: r[1] for r in mixed} == {s: n for s, n in taken.items() if n}
 
 
+def test_mix_draws_texts_without_or_with_one_id_each_for_itself(spark):
+    for doc in (None, 7):
+        data = [(doc, f"w{i} " * 10, "big") for i in range(1000)] + [(-i, "v " * 10, "small") for i in range(600)]
+        df = spark.createDataFrame(data, "doc_id long, text string, source string")
+        big = mixing.rated(mixing.sized(df).withColumn("digest", mixing.text_digest())).where("source = 'big'")
+        got = big.agg(F.sum(F.col("size") * F.col("copies")), F.first("target"), F.first("source_size")).first()
+        assert got[1] % got[2] and got[0] == pytest.approx(got[1], rel=0.1)
+
+
 # ---- all
 
 
+def test_quality_stage_keeps_columns_named_like_measures(docs):
+    clash = docs.withColumn("n_words", F.lit("own")).withColumn("fail_bits", F.lit("own")).withColumn("n_lines", F.lit("own"))
+    kept = quality.kept(clash)
+    assert kept.columns == clash.columns
+    assert {tuple(r) for r in kept.select("n_words", "fail_bits", "n_lines").collect()} == {("own",) * 3}
+    plain = quality.ledger(docs).where(quality.passes(quality.POLICIES["v1"]))
+    assert rows(kept, "doc_id", "text") == rows(plain, "doc_id", "text")
+
+
 def test_clashing_columns_do_not_matter(docs, clashing):
     for run, names in (
         (quality.ledger, ("doc_id", "n_words", "fail_bits")),
@@ -505,6 +547,7 @@ def test_queries_on_empty_tables(spark, empty, sf_dir):
         documents=empty,
         benchmark=spark.createDataFrame([], "item_id long, text string"),
         pages=spark.createDataFrame([], "page_id long, url string, html string"),
+        conversations=spark.createDataFrame([], "conv_id long, turn long, role string, text string"),
     )
     for name, query in registry.queries().items():
         assert query(spark, path).count() == 0, name

@@ -21,7 +21,7 @@ most, are counted by two independent 64-bit hashes instead, which gathers nothin
 
 Defined cases: a missing or empty text has no bytes and no spans; texts under 200 bytes stay; a row
 that repeats id and text is elsewhere, so both lose their bytes; rows that share an id are told
-apart by their text; rows without id neither lose bytes nor cost others any.
+apart by their text; rows without id take part under a hash of their text.
 """
 
 from __future__ import annotations
@@ -270,12 +270,11 @@ def repeated_windows(stretches: DataFrame) -> DataFrame:
 
 
 def repeated_bytes(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """(id, spans of (place, stop)): bytes in repeated windows. ``docs`` has id and text."""
-    named = docs.where("id is not null")
-    counted = named.mapInPandas(anchor_rows, "key long").groupBy("key").count()
+    """(id, spans of (place, stop)): bytes in repeated windows. ``docs`` has id and text, no id missing."""
+    counted = docs.mapInPandas(anchor_rows, "key long").groupBy("key").count()
     shared = staged(counted.where("count > 1").select("key"), "shared-anchors")
     few = shared.count() <= BROADCAST_KEYS
-    rows = named.mapInPandas(stretch_rows, STRETCH).join(F.broadcast(shared) if few else shared, "key", "left_semi")
+    rows = docs.mapInPandas(stretch_rows, STRETCH).join(F.broadcast(shared) if few else shared, "key", "left_semi")
     met = staged(rows.withColumn("proof", F.xxhash64("bytes", "lead")), "stretches")
     name = ["key", "name", "proof"]
     classes = staged(
@@ -332,8 +331,11 @@ def deduplicated(
 ) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept bytes) of every row."""
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    spans = staged(repeated_bytes(plain, bucket_rows), "byte-spans")
-    joined = plain.join(spans, "id", "left").select("id", "text", "spans")
+    # a text without id takes part under a hash of it; places carry a tag of their text besides
+    name = F.coalesce("id", F.xxhash64("text"))
+    spans = staged(repeated_bytes(plain.select(name.alias("id"), "text"), bucket_rows), "byte-spans")
+    spans = spans.withColumnRenamed("id", "_name")
+    joined = plain.withColumn("_name", name).join(spans, "_name", "left").select("id", "text", "spans")
     out = joined.mapInPandas(without_repeats, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return out.withColumnRenamed("id", id_col)
 
