@@ -14,7 +14,7 @@ from tidemark.llm.common import staged, table
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the current policy."""
-    return quality.ledger(docs).where(quality.passes(quality.POLICIES[quality.CURRENT])).select(*docs.columns)
+    return quality.kept(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
