@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from ..operators import reconcile, snapshot, temporal, upsert
 from ..plans import marts
 from ..session import fresh_folder
-from ..sources import feeds, star
+from ..sources import feeds, star, summaries
+from ..sources.arrivals import HighWater
 from ..sources.star import Star
 from ..sources.store import HistoryStore, MartStore
 from ..streaming import nightly
@@ -156,6 +157,141 @@ def touched_keys_recompute(spark, sf_dir):
     )
 
 
+#: What nightly runs by load time can see: loads before a moment, and half of the load at it.
+MOMENTS = ("1997-07-01", "2000-01-01", None)
+
+
+@query(PAYOUTS_SQL)
+def payouts_by_load_time(spark, sf_dir):
+    """Three nightly runs that recompute the dates of rows loaded since the last: the stored mark of
+    load times finds them, the half that arrives at the very mark included."""
+    s = Star(spark, sf_dir)
+    root = fresh_folder(spark, "load-time")
+    store, marks = MartStore(spark, root, PERIOD), HighWater(spark, root)
+    deliveries, adjustments = star.timed_deliveries(s), star.timed_adjustments(s)
+
+    def one_run(run):
+        at = F.lit(MOMENTS[run - 1]).cast("timestamp_ntz")
+        seen = at.isNull() | (F.col("loaded_at") < at) | ((F.col("loaded_at") == at) & (F.col("delivery_id") % 2 == 0))
+        headers, lines = deliveries.where(seen), adjustments.where(seen)
+        return upsert.run_arrivals(
+            store,
+            "daily_payouts",
+            lambda window: marts.daily_payouts(headers, lines, window, wide=True),
+            "delivery_date",
+            run,
+            marks,
+            {"deliveries": (headers, "loaded_at"), "adjustments": (lines, "loaded_at")},
+            lambda new: new["deliveries"].select("delivery_date").unionByName(
+                upsert.touched_dates(headers, new["adjustments"], ["delivery_id"], "delivery_date")
+            ),
+        )
+
+    return upsert.replay(LOADS, one_run)
+
+
+def _stored_payouts(spark, sf_dir, root):
+    """Deliveries logged by batch and the mart that each batch leaves: yields (load, mart, log)."""
+    s = Star(spark, sf_dir)
+    store, log = MartStore(spark, root, PERIOD), summaries.FeedLog(spark, f"{root}/feeds")
+    deliveries, adjustments = star.deliveries(s), star.delivery_adjustments(s).drop("batch_id")
+    schema = deliveries.drop("batch_id").schema
+    for load in LOADS:
+        log.deliver("deliveries", feeds.batch_exact(deliveries, "batch_id", load), load)
+        seen = log.upto("deliveries", schema, load)
+        upsert.run_incremental(
+            store,
+            "daily_payouts",
+            lambda window: marts.daily_payouts(seen, adjustments, window, wide=True),  # noqa: B023
+            "delivery_date",
+            load,
+            lookback_days=marts.DELIVERY_SLA_DAYS,
+        )
+        yield load, summaries.of_mart(store, "daily_payouts", "delivery_date"), log.partitioned("deliveries", schema, load)
+
+
+def _totals_sql() -> str:
+    values = {"deliveries": "count(*)", "completed": "count(*) filter (status = 'COMPLETED')", "payout": "sum(payout_base_usd)"}
+    rows = [
+        f"""select {load} as load, '{name}' as total, cast(coalesce({value}, 0) as decimal(28,2)) as published
+            from deliveries where status <> 'CANCELLED' and batch_id <= {load}"""
+        for load in LOADS
+        for name, value in values.items()
+    ]
+    both = " union all ".join(rows)
+    return f"select *, published as staged, cast(0 as decimal(28,2)) as difference from ({both})"
+
+
+@query(_totals_sql())
+def totals_tie_out_stored(spark, sf_dir):
+    """Each night's mart against its feed by kept totals: of the feed only the new batch is read, of the
+    mart only the periods that the night wrote."""
+    root = fresh_folder(spark, "totals")
+    kept, ties = summaries.Summaries(spark, root), None
+    live = F.col("status") != "CANCELLED"
+    for load, mart, log in _stored_payouts(spark, sf_dir, root):
+        published = kept.of(
+            "mart-totals",
+            mart,
+            {
+                "deliveries": F.sum("delivery_count"),
+                "completed": F.sum("completed_count"),
+                "payout": F.sum("payout_base_usd").cast("decimal(38,2)"),
+            },
+        )
+        staged = kept.of(
+            "feed-totals",
+            log,
+            {
+                "deliveries": F.count_if(live),
+                "completed": F.count_if(F.col("status") == "COMPLETED"),
+                "payout": F.sum(F.when(live, F.col("payout_base_usd"))).cast("decimal(38,2)"),
+            },
+        )
+        totals = {name: (F.sum(name), staged, F.sum(name)) for name in ("deliveries", "completed", "payout")}
+        # noted before the next night writes over the periods that these totals were read from
+        tie = reconcile.tie_out(published, totals).select(F.lit(load).alias("load"), "*")
+        tie.write.mode("overwrite").parquet(f"{root}/ties/night={load}")
+        tie = spark.read.schema(tie.schema).parquet(f"{root}/ties/night={load}")
+        ties = tie if ties is None else ties.unionByName(tie)
+    return ties
+
+
+_NEWEST_SQL = f"""
+    (select * from ({PAYOUTS_SQL}) where delivery_date = (select max(delivery_date) from daily_payouts))
+"""
+
+
+@query(
+    f"""
+    select *, cast(1 as bigint) as left_rows, cast(0 as bigint) as right_rows from {_NEWEST_SQL}
+    union all
+    select * replace (delivery_count + 1 as delivery_count), cast(0 as bigint), cast(1 as bigint) from {_NEWEST_SQL}
+    """
+)
+def stored_diff_one_period(spark, sf_dir):
+    """The replayed mart against a stored rebuild whose newest day counts one delivery too many: digests
+    tell which period differs, and only its rows are compared."""
+    root = fresh_folder(spark, "digests")
+    *_, (_, mart, _) = _stored_payouts(spark, sf_dir, root)
+    s, rebuilt = Star(spark, sf_dir), MartStore(spark, f"{root}/rebuilt", PERIOD)
+    full = marts.daily_payouts(
+        star.deliveries(s).drop("batch_id"), star.delivery_adjustments(s).drop("batch_id"), wide=True
+    )
+    newest = MartStore(spark, root, PERIOD).newest("daily_payouts", "delivery_date")
+    one_more = F.when(F.col("delivery_date") == F.lit(newest), 1).otherwise(0)
+    broken = full.withColumn("delivery_count", F.col("delivery_count") + one_more)
+    rebuilt.write("daily_payouts", 1, broken, "delivery_date")
+    other = summaries.of_mart(rebuilt, "daily_payouts", "delivery_date")
+    kept = summaries.Summaries(spark, root)
+    return summaries.stored_diff(
+        mart,
+        summaries.digests(kept, "mart-digests", mart),
+        other,
+        summaries.digests(kept, "rebuilt-digests", other),
+    )
+
+
 # The upserts on one pair of tables: the target is the payout mart of load 2; the new rows are
 # the days from the bound on as of load 3, in which one city has been withdrawn altogether.
 BOUND = date(1999, 12, 1)

@@ -116,3 +116,18 @@ def side_counts(left: DataFrame, right: DataFrame) -> DataFrame:
 def table_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows that do not occur equally often on both sides; empty when the tables are equal."""
     return side_counts(left, right).where(F.col("left_rows") != F.col("right_rows"))
+
+
+def digest(columns: Sequence[str]) -> Column:
+    """An aggregate that is equal for equal multisets of rows, whatever their order.
+
+    Two 64-bit hashes of every row are added up in pieces of 32 bits, so that two billion
+    rows fit a group; repeated rows count. Each column's absence is hashed beside its value.
+    """
+    cells = [cell for c in columns for cell in (F.col(c), F.col(c).isNull())]
+    pieces = []
+    for seed in (1, 2):
+        row = F.xxhash64(F.lit(seed), *cells)
+        halves = (row.bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(row, 32))
+        pieces += [F.coalesce(F.sum(half), F.lit(0)).cast("string") for half in halves]
+    return F.concat_ws(":", F.count("*").cast("string"), *pieces)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.arrivals import HighWater
 from ..sources.store import MartStore, NotRebuildable
 from .joins import keep_keys
 from .shaping import without_keys
@@ -196,11 +197,13 @@ def run_incremental(
     keys: Sequence[str] = (),
     on_schema_change: str = "fail",
     reopened: Callable[[date], DataFrame] | None = None,
+    only: Callable[[], Window] | None = None,
 ) -> DataFrame:
     """One nightly run: derive the window, build it from full upstream, commit, read back.
 
     ``build(window)`` returns the mart's rows in the window and those without a date (all rows for
-    None). The window is its first date, or a ``Window`` if ``reopened`` names earlier dates.
+    None). The window is its first date, or a ``Window`` if ``reopened`` names earlier dates; ``only``
+    gives it instead of the lookback.
 
     Only the periods that the window touches are written, rows without a date among them, so the
     mart equals a rebuild after every run. A run that is repeated finds the state it first found;
@@ -213,7 +216,7 @@ def run_incremental(
     if not is_incremental(store, name, run, full_refresh):
         store.write(name, run, build(None), grain)
         return store.read(name)
-    window = run_window(store, name, grain, run, lookback_days, full_refresh, reopened)
+    window = only() if only else run_window(store, name, grain, run, lookback_days, full_refresh, reopened)
     asked, window = window, Window(window) if isinstance(window, date) else window
     new = align(build(asked), store.schema(name, before_run=run), on_schema_change)
     keyed = {"delete_insert": delete_insert, "merge": merge}.get(strategy)
@@ -239,6 +242,36 @@ def run_incremental(
     return store.read(name)
 
 
+def run_arrivals(
+    store: MartStore,
+    name: str,
+    build: Callable[[Window | None], DataFrame],
+    grain: str,
+    run: int,
+    marks: HighWater,
+    arriving: Mapping[str, tuple[DataFrame, str]],
+    dates: Callable[[Mapping[str, DataFrame]], DataFrame],
+    full_refresh: bool = False,
+) -> DataFrame:
+    """One nightly run by load time: recomputes the grain dates of rows loaded since the last run.
+
+    ``arriving`` maps a feed to its rows and the column that says when they were loaded;
+    ``dates(arrivals)`` gives the grain dates that the arrivals of each feed belong to, old dates of
+    restated headers included. There is no lookback: a row may be as late as it likes. Marks move
+    once the mart is stored, so a run that was cut off takes its arrivals again.
+    """
+    taken = {feed: marks.take(feed, rows, loaded_at, run) for feed, (rows, loaded_at) in arriving.items()}
+
+    def touched() -> Window:
+        found = dates({feed: t.arrivals for feed, t in taken.items()}).where(F.col(grain).isNotNull())
+        return Window(date.max, frozenset(r[0] for r in found.select(grain).distinct().collect()))
+
+    state = run_incremental(store, name, build, grain, run, full_refresh=full_refresh, only=touched)
+    for t in taken.values():
+        marks.finish(t, run)
+    return state
+
+
 def replay(batches: Iterable[int], one_run: Callable[[int], DataFrame]) -> DataFrame:
     """Runs the batches in order (the first builds, the others add) and returns the last state."""
     state = None

@@ -282,6 +282,27 @@ def delivery_adjustments(s: Star) -> DataFrame:
     )
 
 
+def month_load(day: Column) -> Column:
+    """Loads of a month share one moment, the first of the next."""
+    return F.add_months(F.trunc(day, "month"), 1).cast("timestamp_ntz").alias("loaded_at")
+
+
+def timed_deliveries(s: Star) -> DataFrame:
+    """Deliveries with the moment of their load, zero to four days and up to a month later."""
+    late = (F.col("delivery_id") % 5).cast("int")
+    return deliveries(s).select("*", month_load(F.date_add("delivery_date", late)))
+
+
+def timed_adjustments(s: Star) -> DataFrame:
+    """Adjustments, loaded long before or after their delivery."""
+    amount = F.col("l_quantity").cast("decimal(10,2)")
+    return s.lineitem.select(
+        F.col("l_orderkey").alias("delivery_id"),
+        F.when(F.col("l_returnflag") == "R", -amount).otherwise(amount).alias("adj_amount_usd"),
+        month_load(F.to_date("l_shipdate")),
+    )
+
+
 def account_versions(s: Star) -> DataFrame:
     """Events other than purchases are changes of the user's state."""
     region = (
