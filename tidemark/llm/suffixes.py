@@ -32,10 +32,10 @@ from functools import cmp_to_key
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions, staged, table
+from .common import staged, table
 from .recompress import Prefixes, powers
 from .substrings import BROADCAST_KEYS, TAG_SHIFT, tag
 
@@ -277,17 +277,22 @@ def repeated_bytes(docs: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame
     rows = docs.mapInPandas(stretch_rows, STRETCH).join(F.broadcast(shared) if few else shared, "key", "left_semi")
     met = staged(rows.withColumn("proof", F.xxhash64("bytes", "lead")), "stretches")
     name = ["key", "name", "proof"]
-    classes = staged(
-        met.groupBy(*name).agg(F.count("*").alias("n"), F.first(F.length("bytes")).alias("size")), "classes"
+    # each class once, however often it occurs: combined before anything is dealt by anchor
+    classes = met.groupBy(*name).agg(
+        F.count("*").alias("n"),
+        F.first(F.length("bytes")).alias("size"),
+        F.first("bytes").alias("bytes"),
+        F.first("lead").alias("lead"),
     )
+    classes = staged(classes, "classes")
     several = staged(classes.groupBy("key").agg(F.count("*").alias("c")).where("c > 1"), "several")
 
     def folded(keys: DataFrame) -> DataFrame:
-        held = met.join(keys.select("key"), "key", "left_semi").groupBy(*name)
-        return held.agg(F.first("bytes").alias("bytes"), F.first("lead").alias("lead"))
+        return classes.select(*name, "bytes", "lead").join(keys.select("key"), "key", "left_semi")
 
-    bucketed = folded(several.where(F.col("c") <= bucket_rows))
-    ordered = bucketed.repartition(shuffle_partitions(docs.sparkSession), "key").sortWithinPartitions("key")
+    # the window brings an anchor's classes together and in order; it deals them out again only if the join has not
+    place = F.row_number().over(Window.partitionBy("key").orderBy("name", "proof"))
+    ordered = folded(several.where(F.col("c") <= bucket_rows)).withColumn("k", place)
     partly = ordered.mapInPandas(sorted_buckets, BUCKET)
     crowded = several.where(F.col("c") > bucket_rows)
     if not crowded.isEmpty():
