@@ -55,9 +55,9 @@ def mask(names: tuple[str, ...]) -> int:
 def measured(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the measurements of one text column.
 
-    Repeated three-word windows are found by sorting, inside the row: the key of a window is its
-    hash with the lowest bits replaced by the window's place, so equal windows become neighbours
-    that still know their places. Neighbours are compared by their words, not only by the hash.
+    Repeated three-word windows are found by sorting, inside the row, (hash, place) pairs: equal
+    windows become neighbours that know their places. Neighbours are compared by their words, not
+    only by the hash.
     """
     body = F.coalesce(F.col(text), F.lit(""))
     count = lambda array: F.size(array).cast("long")
@@ -71,7 +71,6 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
             "n_symbols": F.length(F.regexp_replace(body, f"[^{SYMBOLS}]+", "")).cast("long"),
             "n_lines": count("_l"),
             "n_dup_lines": count("_l") - count(F.array_distinct("_l")),
-            "_m": F.expr("shiftleft(1L, length(bin(size(_w)))) - 1"),  # bits for a place
         }
     )
     out = out.withColumn(
@@ -85,26 +84,22 @@ def measured(df: DataFrame, text: str = "text") -> DataFrame:
         "_k",
         F.expr(
             "if(size(array_distinct(_g)) = size(_g), array(),"
-            " sort_array(transform(_g, (h, i) -> (h & ~_m) | i)))"
+            " sort_array(transform(_g, (h, i) -> struct(h, i))))"
         ),
     )
-    same = (
-        "(get(_k, {j}) & ~_m) = (x & ~_m) and _w[int(get(_k, {j}) & _m)] = _w[int(x & _m)]"
-        " and _w[int(get(_k, {j}) & _m) + 1] = _w[int(x & _m) + 1]"
-        " and _w[int(get(_k, {j}) & _m) + 2] = _w[int(x & _m) + 2]"
-    )
+    same = "get(_k, {j}).h = x.h" + "".join(f" and _w[get(_k, {{j}}).i + {d}] = _w[x.i + {d}]" for d in range(3))
     out = out.withColumn(
         "_p",
         F.expr(
             f"sort_array(transform(filter(_k, (x, j) -> coalesce({same.format(j='j - 1')}, false)"
-            f" or coalesce({same.format(j='j + 1')}, false)), x -> x & _m))"
+            f" or coalesce({same.format(j='j + 1')}, false)), x -> x.i))"
         ),
     )
     out = out.withColumn(
         "n_repeat_words",
-        F.expr("aggregate(transform(_p, (x, j) -> least(3L, coalesce(get(_p, j + 1) - x, 3L))), 0L, (a, x) -> a + x)"),
+        F.expr("aggregate(transform(_p, (x, j) -> least(3, coalesce(get(_p, j + 1) - x, 3))), 0L, (a, x) -> a + x)"),
     )
-    return out.drop("_w", "_l", "_m", "_g", "_k", "_p")
+    return out.drop("_w", "_l", "_g", "_k", "_p")
 
 
 def failure_bits() -> Column:
