@@ -142,7 +142,7 @@ class MartStore:
         return rows.select(*last.schema.names)
 
     def partitions(self, name: str, grain: str) -> dict[str | None, frozenset[str]]:
-        """The files of every period, from their paths; None stands for rows without a date."""
+        """The files of every period, in order, from their paths; None stands for rows without a date."""
         try:
             files = self.spark.read.schema(f"{grain} date").parquet(f"{self.root}/{name}/by={grain}").inputFiles()
         except AnalysisException as missing:
@@ -150,7 +150,7 @@ class MartStore:
                 raise
             return {}
         found: dict[str | None, set[str]] = {}
-        for file in files:
+        for file in sorted(files):  # a folder may be listed in any order
             value = re.findall(f"/{PERIOD}=([^/]+)/", file)[-1]
             found.setdefault(None if value == UNDATED else value, set()).add(file)
         return {period: frozenset(names) for period, names in found.items()}
