@@ -23,7 +23,7 @@ from .byte_bpe import byte_letters
 from .transducer import ranges
 
 #: Words and pieces remembered by a worker, each, at about 150 bytes.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Words taken together.
 TOGETHER = 1 << 18
 
