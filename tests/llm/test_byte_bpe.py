@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -138,3 +139,35 @@ def test_word_counts_cover_all_rows(docs, library):
         for _, (a, b) in library.pre_tokenizer.pre_tokenize_str(row[1] or ""):
             want[row[1][a:b]] = want.get(row[1][a:b], 0) + 1
     assert got == want
+
+
+def test_a_task_counts_a_repeated_piece_once():
+    texts = [" ".join(f"w{k % 500}" for k in range(100_000)), None, ""] * 5
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 4], pa.string())], ["text"]) for k in range(0, len(texts), 4)]
+    got = pa.Table.from_batches(byte_bpe.counted(iter(batches), PATH)).to_pydict()
+    assert len(got["word"]) == len(set(got["word"]))
+    pieces = {}
+    for text in texts:
+        for part, _ in byte_bpe.byte_bpe(PATH).parts(text or ""):
+            for piece in part:
+                pieces[piece.encode()] = pieces.get(piece.encode(), 0) + 1
+    assert dict(zip(got["word"], got["n"], strict=True)) == pieces
+
+
+def test_counting_holds_bounded_pieces_and_characters(monkeypatch):
+    monkeypatch.setattr(byte_bpe, "HELD", 100)
+    monkeypatch.setattr(byte_bpe, "READ", 5_000)
+    short, long = [f"a{k} b{k} c{k}" for k in range(200)], ["x" * 3_000 + str(k) for k in range(10)]
+    batch = pa.RecordBatch.from_arrays([pa.array(short + long, pa.string())], ["text"])
+    got = [b.to_pydict() for b in byte_bpe.counted(iter([batch]), PATH)]
+    assert max(len(b["word"]) for b in got) <= 110
+    assert max(sum(map(len, b["word"])) for b in got) <= 8_500
+    assert sum(n for b in got for n in b["n"]) == sum(len(p) for t in short + long for p, _ in byte_bpe.byte_bpe(PATH).parts(t))
+
+
+def test_lexicon_writes_no_table_of_counts(spark, docs, monkeypatch, tmp_path):
+    monkeypatch.setattr(byte_bpe, "fresh_folder", lambda _, purpose: f"file:{tmp_path}/{purpose}")
+    monkeypatch.setattr("tidemark.llm.common.fresh_folder", lambda _, purpose: f"file:{tmp_path}/{purpose}")
+    path = byte_bpe.compile_lexicon(docs)
+    assert len(transducer.Lexicon.open(path).keys) > 400
+    assert [p.name for p in tmp_path.iterdir()] == ["llm-lexicon"]

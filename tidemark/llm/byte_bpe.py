@@ -20,25 +20,29 @@ import hashlib
 import heapq
 import json
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import fresh_folder
 from . import transducer
-from .common import staged, table
+from .common import table
 
 #: Pieces in the lexicon at most; it holds the most frequent ones.
 WORDS = 1 << 17
 #: Characters encoded at a time.
 PART = 1 << 20
-#: Pieces a task counts at a time, and merged pieces a worker remembers before it starts anew.
+#: Distinct pieces a task counts at a time, and merged pieces a worker remembers before it starts anew.
 HELD = 200_000
+#: Characters a task counts at a time, as pieces may be long.
+READ = 1 << 26
 
 _BITS = 32
 _ID = (1 << _BITS) - 1
@@ -213,27 +217,33 @@ def public_byte_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def word_counts(texts: DataFrame, vocabulary: str) -> DataFrame:
-    """(word, n): how often each piece occurs in the column ``text``, all rows counted."""
+def counted(batches: Iterator[pa.RecordBatch], vocabulary: str) -> Iterator[pa.RecordBatch]:
+    """(word, n) of the pieces of the first column, a row per distinct piece as long as ``HELD`` and ``READ`` allow."""
+    bpe, held, read = byte_bpe(vocabulary), Counter(), 0
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, held = byte_bpe(vocabulary), []
+    def rows() -> pa.RecordBatch:
+        words, n = pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())
+        held.clear()
+        return pa.RecordBatch.from_arrays([words.cast(pa.binary()), n], ["word", "n"])
 
-        def rows() -> pa.RecordBatch:
-            found = pa.array(held, pa.string()).value_counts()
-            held.clear()
-            return pa.RecordBatch.from_arrays([found.field(0).cast(pa.binary()), found.field(1)], ["word", "n"])
+    for batch in batches:
+        for text in batch.column(0):
+            plain = text.as_py() or ""
+            for pieces, _ in bpe.parts(plain):
+                held.update(pieces)
+                if len(held) > HELD:
+                    yield rows()
+            read += len(plain)
+            if read > READ:
+                yield rows()
+                read = 0
+    yield rows()
 
-        for batch in batches:
-            for text in batch.column(0):
-                for pieces, _ in bpe.parts(text.as_py() or ""):
-                    held.extend(pieces)
-                    if len(held) > HELD:
-                        yield rows()
-        yield rows()
 
-    counted = texts.select("text").mapInArrow(count, "word binary, n long")
-    return counted.groupBy("word").agg(F.sum("n").alias("n"))
+def word_counts(texts: DataFrame, vocabulary: str) -> DataFrame:
+    """(word, n): how often each piece occurs in the column ``text``, all rows counted."""
+    found = texts.select("text").mapInArrow(lambda batches: counted(batches, vocabulary), "word binary, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def frequent(counts: DataFrame, words: int) -> DataFrame:
@@ -255,12 +265,15 @@ def frequent(counts: DataFrame, words: int) -> DataFrame:
 def compile_lexicon(texts: DataFrame, vocabulary: str | None = None, words: int = WORDS) -> str:
     """Path of the lexicon of the most frequent pieces of the column ``text``.
 
-    The listed words, ``words`` of them at most, are merged and compiled on the driver.
+    The listed words, ``words`` of them at most, are merged and compiled on the driver. The counts are read twice
+    and kept on the executors' disks for that.
     """
     vocabulary = vocabulary or public_byte_vocabulary()
     path = f"{fresh_folder(texts.sparkSession, 'llm-lexicon')}/words.lex"
-    counts = staged(word_counts(texts, vocabulary), "words")
-    listed, bpe = sorted(frequent(counts, words).select("word").toArrow().column(0).to_pylist()), byte_bpe(vocabulary)
+    counts = word_counts(texts, vocabulary).persist(StorageLevel.DISK_ONLY)
+    listed = sorted(frequent(counts, words).select("word").toArrow().column(0).to_pylist())
+    counts.unpersist()
+    bpe = byte_bpe(vocabulary)
     transducer.write(path, ((w, tuple(bpe.merge(w))) for w in listed))
     return path
 
